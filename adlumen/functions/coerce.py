@@ -1,108 +1,190 @@
-"""Field checks on parsed JSON messages.
+"""Reading the fields of JSON messages.
 
-Messages are read as VARIANT, because the accepted coercions depend on the JSON type that was
-sent: ``"0.45"`` is a fine price and ``5`` is not a fine user id, while ``from_json`` with a fixed
-schema decides both the other way round. Each function returns a pair of columns for one field:
-the typed value (NULL unless acceptable) and whether the sent value was acceptable.
+The accepted coercions depend on the JSON type that was sent: ``"0.45"`` is a fine price, ``5`` is
+not a fine user id, and a null is not the same as an absent field. VARIANT keeps that apart, plain
+``from_json`` types do not, but reading scalars out of VARIANT costs several times as much. So
+messages are read as plain text fields first, and a field's reader says for which texts the JSON
+type cannot matter. Only messages with another text in some field are read again as VARIANT.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: accepted text forms ----------------------------------------------------
-NUMBER_TEXT = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|inf|infinity|nan)\s*$"
+NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 INTEGER_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"
 TIMESTAMP_TEXT = (
     r"^\d{4}-\d{2}-\d{2}"
     r"([Tt _]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?([Zz]|[+-]\d{2}:?\d{2})?)?$"
 )
+# Texts that read the same whether they were sent as a string or as another JSON type.
+PLAIN_NUMBER_TEXT = r"^-?\d+(\.\d+)?$"
+PLAIN_INTEGER_TEXT = r"^-?\d+$"
+PLAIN_TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
+# Texts that a number or another JSON type can have as well as a string.
+JSON_NUMBER_TEXT = r"^[-+]?(\d+(\.\d+)?([eE][+-]?\d+)?|INF|Infinity)$"
+JSON_WORDS = ["true", "false", "NaN", "INF", "Infinity"]
 TRUE_TEXT = ["1", "on", "t", "true", "y", "yes"]
 FALSE_TEXT = ["0", "off", "f", "false", "n", "no"]
 # Epoch numbers beyond this are milliseconds.
 EPOCH_SECONDS_LIMIT = 20_000_000_000
 
 
-def parse_message(value: Column) -> Column:
-    """The message as VARIANT, wrapped in a one-element array; NULL when it is not JSON.
+def _from_json_array(value: Column, element: str) -> Column:
+    """The message read as an array of one element.
 
-    ``try_parse_json`` stops at the end of the first JSON value. Inside an array any trailing
-    text is a syntax error or a second element, so it cannot pass unseen.
+    ``from_json`` stops at the end of the first JSON value. With brackets around the message,
+    trailing text is a syntax error or a second element and cannot pass unseen.
     """
-    return F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    return F.from_json(
+        F.concat(F.lit("["), value, F.lit("]")), f"ARRAY<{element}>", {"allowSingleQuotes": "false"}
+    )
+
 
+def parse_objects(value: Column, names: Sequence[str], field_type: str) -> Column:
+    """The message as an array of one struct; of a repeated key the last one counts.
+
+    As STRING fields, a text is the string sent or the JSON text of anything else, and null is
+    like absent. As VARIANT fields, an absent field is NULL and a null is a VARIANT null.
+    """
+    return _from_json_array(value, f"STRUCT<{', '.join(f'{n}: {field_type}' for n in names)}>")
 
-def is_object(doc: Column) -> Column:
+
+def parse_any(value: Column) -> Column:
+    """The message as an array of one VARIANT."""
+    return _from_json_array(value, "VARIANT")
+
+
+def is_one_object(value: Column, parsed: Column) -> Column:
     """True when the message is exactly one JSON object."""
-    kind = F.schema_of_variant(F.try_variant_get(doc, "$[0]", "variant"))
-    alone = F.try_variant_get(doc, "$[1]", "variant").isNull()
-    return F.coalesce(kind.startswith("OBJECT") & alone, F.lit(False))
+    bare = F.trim(value, F.lit(" \t\r\n"))
+    whole = bare.startswith("{") & bare.endswith("}")
+    return F.coalesce((F.size(parsed) == 1) & whole, F.lit(False))
+
 
+class Sent(NamedTuple):
+    """What a message holds for one field: the value as VARIANT and its JSON type.
 
-def sent_type(doc: Column, name: str) -> Column:
-    """JSON type of a field: NULL when absent, VOID for null, else STRING, BIGINT, DOUBLE, …"""
-    return F.schema_of_variant(F.try_variant_get(doc, f"$[0].{name}", "variant"))
+    The type is NULL when the field is absent, VOID for null, else STRING, BIGINT, DOUBLE, …
+    """
+
+    variant: Column
+    kind: Column
+
+    @property
+    def is_number(self) -> Column:
+        return self.kind.isin("BIGINT", "DOUBLE", "FLOAT") | self.kind.startswith("DECIMAL")
 
+    @property
+    def is_boolean(self) -> Column:
+        return self.kind == "BOOLEAN"
 
-def _get(doc: Column, name: str, target: str) -> Column:
-    return F.try_variant_get(doc, f"$[0].{name}", target)
+    @property
+    def is_string(self) -> Column:
+        return self.kind == "STRING"
 
+    def get(self, target: str) -> Column:
+        return F.try_variant_get(self.variant, "$", target)
 
-def _is_number(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
+class Reader(NamedTuple):
+    """How one type is read.
+
+    ``usual`` tells for which texts ``from_text`` gives what ``from_sent`` would give for every
+    JSON type that has this text. Both give NULL for a value that is not acceptable.
+    """
+
+    usual: Callable[[Column], Column]
+    from_text: Callable[[Column], Column]
+    from_sent: Callable[[Sent], Column]
+
+
+def _number(sent: Sent) -> Column:
+    raw = sent.get("string")
+    return (
+        F.when(sent.is_number | sent.is_boolean, sent.get("double"))
+        .when(sent.is_string & raw.rlike(NUMBER_TEXT), F.trim(raw).try_cast("double"))
+    )
 
-def text(doc: Column, name: str) -> tuple[Column, Column]:
+
+def _integer(sent: Sent) -> Column:
+    raw, as_double = sent.get("string"), sent.get("double")
+    whole = sent.is_number & (as_double == F.floor(as_double))
+    return (
+        F.when(sent.is_boolean | whole, as_double.try_cast("int"))
+        .when(sent.is_string & raw.rlike(INTEGER_TEXT),
+              F.regexp_extract(raw, r"[+-]?\d+", 0).try_cast("int"))
+    )
+
+
+def _boolean(sent: Sent) -> Column:
+    word = F.lower(sent.get("string"))
+    known = (sent.is_string | sent.is_number) & word.isin(TRUE_TEXT + FALSE_TEXT)
+    return F.when(sent.is_boolean, sent.get("boolean")).when(known, word.isin(TRUE_TEXT))
+
+
+def _instant(sent: Sent) -> Column:
+    raw, epoch = F.trim(sent.get("string")), sent.get("double")
+    seconds = F.when(F.abs(epoch) <= EPOCH_SECONDS_LIMIT, epoch).otherwise(epoch / 1000)
+    is_epoch = sent.is_number | (sent.is_string & raw.rlike(NUMBER_TEXT))
+    return (
+        F.when(sent.is_string & raw.rlike(TIMESTAMP_TEXT),
+               F.translate(raw, "_tz,", "TTZ.").try_cast("timestamp"))
+        .when(is_epoch, F.timestamp_micros((seconds * 1_000_000).try_cast("long")))
+    )
+
+
+def _only_a_string(raw: Column) -> Column:
+    # Most ids start with a letter, which settles it without a pattern.
+    other = raw.startswith("[") | raw.startswith("{") | raw.isin(JSON_WORDS)
+    return F.when(raw >= "A", ~other).otherwise(~raw.rlike(JSON_NUMBER_TEXT))
+
+
+def text() -> Reader:
     """Only JSON strings are text; numbers are not turned into ids."""
-    ok = sent_type(doc, name) == "STRING"
-    return F.when(ok, _get(doc, name, "string")), ok
+    return Reader(
+        usual=_only_a_string,
+        from_text=lambda raw: raw,
+        from_sent=lambda sent: F.when(sent.is_string, sent.get("string")),
+    )
 
 
-def number(doc: Column, name: str) -> tuple[Column, Column]:
+def number() -> Reader:
     """Numbers, booleans as 0/1, and numeric text."""
-    kind = sent_type(doc, name)
-    raw = _get(doc, name, "string")
-    from_text = (kind == "STRING") & F.lower(raw).rlike(NUMBER_TEXT)
-    value = (
-        F.when(_is_number(kind) | (kind == "BOOLEAN"), _get(doc, name, "double"))
-        .when(from_text, F.trim(raw).try_cast("double"))
+    return Reader(
+        usual=lambda raw: raw.rlike(PLAIN_NUMBER_TEXT),
+        from_text=lambda raw: raw.try_cast("double"),
+        from_sent=_number,
     )
-    return value, value.isNotNull()
 
 
-def integer(doc: Column, name: str) -> tuple[Column, Column]:
+def integer() -> Reader:
     """Whole numbers, also when sent as 10.0, as text, or as a boolean."""
-    kind = sent_type(doc, name)
-    raw = _get(doc, name, "string")
-    as_double = _get(doc, name, "double")
-    value = (
-        F.when((kind == "BOOLEAN") | (_is_number(kind) & (as_double == F.floor(as_double))),
-               as_double.try_cast("int"))
-        .when((kind == "STRING") & raw.rlike(INTEGER_TEXT),
-              F.regexp_extract(raw, r"[+-]?\d+", 0).try_cast("int"))
+    return Reader(
+        usual=lambda raw: raw.rlike(PLAIN_INTEGER_TEXT),
+        from_text=lambda raw: raw.try_cast("int"),
+        from_sent=_integer,
     )
-    return value, value.isNotNull()
 
 
-def boolean(doc: Column, name: str) -> tuple[Column, Column]:
+def boolean() -> Reader:
     """Booleans, 0/1, and the usual words."""
-    kind = sent_type(doc, name)
-    word = F.lower(_get(doc, name, "string"))
-    known = (kind.isin("BOOLEAN", "STRING") | _is_number(kind)) & word.isin(TRUE_TEXT + FALSE_TEXT)
-    value = F.when(known, word.isin(TRUE_TEXT))
-    return value, value.isNotNull()
+    return Reader(
+        usual=lambda raw: raw.isin("true", "false"),
+        from_text=lambda raw: raw == "true",
+        from_sent=_boolean,
+    )
 
 
-def instant(doc: Column, name: str) -> tuple[Column, Column]:
+def instant() -> Reader:
     """ISO-8601 text (no zone means the session zone) or an epoch number."""
-    kind = sent_type(doc, name)
-    raw = F.trim(_get(doc, name, "string"))
-    epoch = _get(doc, name, "double")
-    seconds = F.when(F.abs(epoch) <= EPOCH_SECONDS_LIMIT, epoch).otherwise(epoch / 1000)
-    iso = F.translate(F.translate(raw, "_t", "TT"), "z,", "Z.")
-    value = (
-        F.when((kind == "STRING") & raw.rlike(TIMESTAMP_TEXT), iso.try_cast("timestamp"))
-        .when(_is_number(kind), F.timestamp_micros((seconds * 1_000_000).try_cast("long")))
+    return Reader(
+        usual=lambda raw: raw.rlike(PLAIN_TIMESTAMP_TEXT),
+        from_text=lambda raw: raw.try_cast("timestamp"),
+        from_sent=_instant,
     )
-    return value, value.isNotNull()

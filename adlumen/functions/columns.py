@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from adlumen.schemas import COUNTRIES, MAX_BID_PRICE, SILVER_CURRENCIES
 
+MICROS = 1_000_000.0
+
 
 def quality_issues() -> Column:
     """Comma-separated names of the quality rules a bronze row breaks, '' when it breaks none.
@@ -30,9 +32,34 @@ def rate(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.round(part / whole, 4)).otherwise(F.lit(0.0))
 
 
-def cpm(revenue: Column, impressions: Column) -> Column:
-    """Revenue per thousand impressions from the unrounded revenue; NULL without impressions."""
-    return F.round(F.try_divide(revenue, impressions) * 1000, 4)
+def micros(amount: str) -> Column:
+    """An amount in whole millionths, the precision prices are stored with.
+
+    Sums of whole numbers do not depend on the order of the rows, so a repeated task or another
+    partitioning cannot change the last digit of a result, and they stay in hash aggregation.
+    """
+    return F.rint(F.col(amount) * MICROS).cast("long")
+
+
+def amount(total_micros: Column) -> Column:
+    """Summed millionths as an amount, rounded to 4 places."""
+    return F.round(total_micros / MICROS, 4)
+
+
+def mean_amount(total_micros: Column, n: Column) -> Column:
+    """Mean amount from the unrounded total, rounded to 4 places; NULL when n is 0."""
+    return F.round(F.try_divide(total_micros, n) / MICROS, 4)
+
+
+def cpm(total_micros: Column, impressions: Column) -> Column:
+    """Revenue per thousand impressions from the unrounded total; NULL without impressions."""
+    return F.round(F.try_divide(total_micros, impressions) / (MICROS / 1000), 4)
+
+
+def exact_sum(column: str, places: int = 4) -> Column:
+    """Aggregate: order-independent sum of values that have at most ``places`` decimals."""
+    scale = 10.0 ** places
+    return F.sum(F.rint(F.col(column) * scale).cast("long")) / scale
 
 
 def most_frequent(value: str, count: Column, among: Column | None = None) -> Column:

@@ -5,6 +5,7 @@ it needs. Spark combines those in each map task, so a key that holds a large sha
 costs one partial row per task. Everything after reads only the partials.
 
 Amounts are added up across currencies without conversion; bid_price is one unit to all tables.
+They are summed in whole millionths, so results do not depend on the order of the rows.
 """
 
 from __future__ import annotations
@@ -12,16 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlumen.functions.columns import cpm, most_frequent
+from adlumen.functions.columns import amount, cpm, mean_amount, micros, most_frequent
 from adlumen.schemas import CONTENT_COLUMNS, FRAUD_COLUMNS, PREMIUM_TIERS, REVENUE_COLUMNS
+_CONTENT_DAY = ["content_id", "ingestion_date"]
+
 
 def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-_CONTENT_DAY = ["content_id", "ingestion_date"]
-
-
 # --- hourly revenue -----------------------------------------------------------------------
 
 
@@ -35,7 +35,7 @@ def hourly_revenue(legitimate: DataFrame) -> DataFrame:
             "advertiser_id", F.date_trunc("hour", "timestamp").alias("hour"), "campaign_id"
         )
         .agg(
-            F.sum("bid_price").alias("spend"),
+            F.sum(micros("bid_price")).alias("spend"),
             F.count("impression_id").alias("impressions"),
             F.count_if(F.col("device_type") == "mobile").alias("mobile"),
             F.count_if(F.col("ad_format") == "video").alias("video"),
@@ -44,7 +44,7 @@ def hourly_revenue(legitimate: DataFrame) -> DataFrame:
     return (
         per_campaign.groupBy("advertiser_id", "hour")
         .agg(
-            F.round(F.sum("spend"), 4).alias("total_spend"),
+            amount(F.sum("spend")).alias("total_spend"),
             F.sum("impressions").alias("impression_count"),
             cpm(F.sum("spend"), F.sum("impressions")).alias("avg_cpm"),
             F.sum("mobile").alias("mobile_impressions"),
@@ -75,7 +75,7 @@ def _content_partials(legitimate: DataFrame) -> DataFrame:
     return legitimate.groupBy(*_CONTENT_DAY, "device_type", "country_code", "ad_format").agg(
         _rows().alias("rows"),
         F.count("impression_id").alias("impressions"),
-        F.sum("bid_price").alias("revenue"),
+        F.sum(micros("bid_price")).alias("revenue"),
         F.count_if(F.col("account_tier").isin(PREMIUM_TIERS)).alias("premium"),
         F.count_if("is_verified").alias("verified"),
     )
@@ -87,7 +87,7 @@ _CONTENT_SUMS = ["rows", "impressions", "revenue", "premium", "verified"]
 def _content_metrics() -> dict:
     return {
         "total_impressions": F.col("impressions"),
-        "total_revenue": F.round("revenue", 4),
+        "total_revenue": amount(F.col("revenue")),
         "avg_cpm": cpm(F.col("revenue"), F.col("impressions")),
         # Viewers without a profile count as neither premium nor verified.
         "premium_user_rate": F.round(F.col("premium") / F.col("rows"), 4),
@@ -100,7 +100,7 @@ def content_core(legitimate: DataFrame) -> DataFrame:
     sums = legitimate.groupBy(*_CONTENT_DAY).agg(
         _rows().alias("rows"),
         F.count("impression_id").alias("impressions"),
-        F.sum("bid_price").alias("revenue"),
+        F.sum(micros("bid_price")).alias("revenue"),
         F.count_if(F.col("account_tier").isin(PREMIUM_TIERS)).alias("premium"),
         F.count_if("is_verified").alias("verified"),
     )
@@ -164,7 +164,7 @@ def _fraud_partials(fraud: DataFrame) -> DataFrame:
     return fraud.groupBy("ingestion_date", "advertiser_id", "country_code").agg(
         _rows().alias("rows"),
         F.count("impression_id").alias("impressions"),
-        F.sum("bid_price").alias("revenue"),
+        F.sum(micros("bid_price")).alias("revenue"),
         F.count("bid_price").alias("priced"),
     )
 
@@ -185,8 +185,8 @@ def _fraud_by_day(fraud: DataFrame) -> DataFrame:
     level = F.col("level")
     return levels.groupBy("ingestion_date").agg(
         F.max(F.when(level == day, F.col("impressions"))).alias("fraud_impression_count"),
-        F.max(F.when(level == day, F.round("revenue", 4))).alias("fraud_revenue_at_risk"),
-        F.max(F.when(level == day, F.round(F.try_divide("revenue", "priced"), 4)))
+        F.max(F.when(level == day, amount(F.col("revenue")))).alias("fraud_revenue_at_risk"),
+        F.max(F.when(level == day, mean_amount(F.col("revenue"), F.col("priced"))))
          .alias("avg_fraud_bid_price"),
         F.count_if((level == advertiser) & F.col("advertiser_id").isNotNull())
          .alias("advertisers_targeted"),
@@ -227,5 +227,5 @@ def fraud_by_country(fraud: DataFrame) -> DataFrame:
     """Drill-down of the fraud totals by day and country."""
     return fraud.groupBy("ingestion_date", "country_code").agg(
         F.count("impression_id").alias("fraud_impression_count"),
-        F.round(F.sum("bid_price"), 4).alias("fraud_revenue_at_risk"),
+        amount(F.sum(micros("bid_price"))).alias("fraud_revenue_at_risk"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlumen.functions.columns import amount, exact_sum, micros
 from adlumen.operators.silver import dedup_first
 from adlumen.schemas import RECONCILE_HOURS
 
@@ -40,7 +41,7 @@ def payment_reconciliation(payments: DataFrame, impressions: DataFrame,
     seen = impressions.where(
         F.col("advertiser_id").isNotNull() & F.col("campaign_id").isNotNull()
     ).select(
-        *_PAIR, "bid_price",
+        *_PAIR, micros("bid_price").alias("spend"),
         *minute_and_offset(),
     )
     return _reconcile(paid, seen, span=hours * 60)
@@ -49,9 +50,9 @@ def payment_reconciliation(payments: DataFrame, impressions: DataFrame,
 def _reconcile(paid: DataFrame, seen: DataFrame, span: int) -> DataFrame:
     # Whole minutes. Minutes that only have payments enter with zero, to be looked up later.
     per_minute = (
-        seen.select(*_PAIR, "minute", F.lit(1).alias("n"), "bid_price")
-        .unionByName(paid.select(*_PAIR, "minute", F.lit(0).alias("n"), F.lit(None).cast("double").alias("bid_price")))
-        .groupBy(*_PAIR, "minute").agg(F.sum("n").alias("n"), F.sum("bid_price").alias("spend"))
+        seen.select(*_PAIR, "minute", F.lit(1).alias("n"), "spend")
+        .unionByName(paid.select(*_PAIR, "minute", F.lit(0).alias("n"), F.lit(0).cast("long").alias("spend")))
+        .groupBy(*_PAIR, "minute").agg(F.sum("n").alias("n"), F.sum("spend").alias("spend"))
     )
     inside = Window.partitionBy(*_PAIR).orderBy("minute").rangeBetween(-(span - 1), -1)
     whole_minutes = per_minute.select(
@@ -66,7 +67,7 @@ def _reconcile(paid: DataFrame, seen: DataFrame, span: int) -> DataFrame:
             F.struct(F.lit("first").alias("edge"), (F.col("minute") - span).alias("minute")),
         )).alias("mark"),
     ).select("payment_id", *_PAIR, "offset", "mark.edge", "mark.minute")
-    in_minute = seen.select(*_PAIR, "minute", "offset", F.lit(1).alias("n"), F.col("bid_price").alias("spend"))
+    in_minute = seen.select(*_PAIR, "minute", "offset", F.lit(1).alias("n"), "spend")
     both = in_minute.unionByName(marks, allowMissingColumns=True)
     frame = Window.partitionBy(*_PAIR, "minute")
     up_to = frame.orderBy("offset").rangeBetween(Window.unboundedPreceding, 0)
@@ -94,7 +95,7 @@ def _reconcile(paid: DataFrame, seen: DataFrame, span: int) -> DataFrame:
         .agg(
             *[F.max(c).alias(c) for c in facts if c != "payment_id"],
             F.coalesce(F.sum("n"), F.lit(0)).alias("matched_impressions"),
-            F.round(F.coalesce(F.sum("spend"), F.lit(0.0)), 4).alias("matched_spend"),
+            amount(F.coalesce(F.sum("spend"), F.lit(0))).alias("matched_spend"),
         )
         .withColumn("reconciled", F.col("matched_impressions") > 0)
     )
@@ -112,7 +113,7 @@ def engagement_by_content(engagements: DataFrame, impressions: DataFrame) -> Dat
         .agg(
             F.count(F.lit(1)).alias("engagements"),
             F.sum("watch_duration_seconds").alias("watch_seconds"),
-            F.sum("completion_rate").alias("completion"),
+            exact_sum("completion_rate").alias("completion"),
             F.count("completion_rate").alias("completions"),
             F.count_if("clicked").alias("clicks"),
         )
@@ -125,7 +126,7 @@ def engagement_by_content(engagements: DataFrame, impressions: DataFrame) -> Dat
             F.count(F.lit(1)).alias("impressions"),
             F.coalesce(F.sum("engagements"), F.lit(0)).alias("engagements"),
             F.coalesce(F.sum("watch_seconds"), F.lit(0)).alias("watch_seconds"),
-            F.round(F.try_divide(F.sum("completion"), F.sum("completions")), 4)
+            F.round(F.try_divide(exact_sum("completion"), F.sum("completions")), 4)
              .alias("avg_completion_rate"),
             F.round(F.coalesce(F.sum("clicks"), F.lit(0)) / F.count(F.lit(1)), 4).alias("click_rate"),
         )

@@ -8,24 +8,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlumen.functions.columns import exact_sum
 
-def _sum(column: str) -> Column:
+
+def _count(column: str) -> Column:
     return F.coalesce(F.sum(column), F.lit(0))
 
 
+def _money(column: str) -> Column:
+    return F.coalesce(exact_sum(column), F.lit(0.0))
+
+
 def dash_summary(content: DataFrame, fraud: DataFrame) -> DataFrame:
     """Key figures over all days, in one row also when a table is empty."""
     served = content.select("total_revenue", "total_impressions", "content_id")
     caught = fraud.select("fraud_impression_count", "fraud_revenue_at_risk")
     return served.unionByName(caught, allowMissingColumns=True).agg(
-        F.round(_sum("total_revenue"), 2).alias("total_revenue"),
-        _sum("total_impressions").alias("total_impressions"),
-        _sum("fraud_impression_count").alias("total_fraud"),
-        F.round(_sum("fraud_revenue_at_risk"), 4).alias("fraud_revenue_at_risk"),
+        F.round(_money("total_revenue"), 2).alias("total_revenue"),
+        _count("total_impressions").alias("total_impressions"),
+        _count("fraud_impression_count").alias("total_fraud"),
+        F.round(_money("fraud_revenue_at_risk"), 4).alias("fraud_revenue_at_risk"),
         F.count_distinct("content_id").alias("active_content"),
     )
 
 
+def _percent(rate: str) -> Column:
+    """A rate of 4 decimals as a percentage of 1, halves rounded up."""
+    return F.round(F.rint(F.col(rate) * 10_000) / 100, 1)
+
+
 def _by_spend(revenue: DataFrame, n: int) -> DataFrame:
     return revenue.orderBy(F.col("total_spend").desc_nulls_last(), "advertiser_id", "hour").limit(n)
 
@@ -50,8 +61,8 @@ def dash_top_content(content: DataFrame, n: int = 15) -> DataFrame:
         .select(
             "content_id", "ingestion_date", "total_revenue", "total_impressions", "avg_cpm",
             "top_device", "top_country", "top_ad_format",
-            F.round(F.col("premium_user_rate") * 100, 1).alias("premium_user_pct"),
-            F.round(F.col("verified_user_rate") * 100, 1).alias("verified_user_pct"),
+            _percent("premium_user_rate").alias("premium_user_pct"),
+            _percent("verified_user_rate").alias("verified_user_pct"),
         )
     )
 
@@ -68,11 +79,11 @@ def dash_fraud_rollup(fraud: DataFrame) -> DataFrame:
     ``weighted_avg_bid_price`` is revenue at risk per fraud impression.
     """
     return fraud.agg(
-        _sum("fraud_impression_count").alias("fraud_impression_count"),
-        F.round(_sum("fraud_revenue_at_risk"), 2).alias("fraud_revenue_at_risk"),
-        F.round(F.avg("avg_fraud_bid_price"), 2).alias("avg_fraud_bid_price"),
+        _count("fraud_impression_count").alias("fraud_impression_count"),
+        F.round(_money("fraud_revenue_at_risk"), 2).alias("fraud_revenue_at_risk"),
+        F.round(F.try_divide(exact_sum("avg_fraud_bid_price"), F.count("avg_fraud_bid_price")), 2).alias("avg_fraud_bid_price"),
         F.round(
-            F.try_divide(F.sum("fraud_revenue_at_risk"), F.sum("fraud_impression_count")), 2
+            F.try_divide(exact_sum("fraud_revenue_at_risk"), F.sum("fraud_impression_count")), 2
         ).alias("weighted_avg_bid_price"),
         F.max("advertisers_targeted").alias("advertisers_targeted"),
         F.max("countries_affected").alias("countries_affected"),
@@ -83,7 +94,7 @@ def dash_fraud_rollup(fraud: DataFrame) -> DataFrame:
 
 def _revenue_by_top(content: DataFrame, column: str) -> DataFrame:
     return content.groupBy(column).agg(
-        F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
+        F.round(exact_sum("total_revenue"), 2).alias("total_revenue"),
         F.count(F.lit(1)).alias("content_count"),
     )
 

@@ -8,7 +8,9 @@ gets its default, an explicit null does not.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,58 +21,89 @@ from adlumen.schemas import (
     AD_FORMATS, DEVICES, IMPRESSION_COLUMNS, INGEST_CURRENCIES, PAYMENT_STATUSES,
 )
 
-_DOC = "_doc"
-Reader = Callable[[Column, str], tuple[Column, Column]]
-
 
 def parse_events(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``is_malformed`` and, for well-formed messages, ``event`` as VARIANT."""
-    doc = F.col(_DOC)
-    well_formed = coerce.is_object(doc)
+    text = F.col(value_col).cast("string")
+    well_formed = coerce.is_one_object(text, F.col("_parsed"))
     return (
-        messages.withColumn(_DOC, coerce.parse_message(F.col(value_col).cast("string")))
+        messages.withColumn("_parsed", coerce.parse_any(text))
         .withColumn("is_malformed", ~well_formed)
-        .withColumn("event", F.when(well_formed, F.try_variant_get(doc, "$[0]", "variant")))
-        .drop(_DOC)
+        .withColumn("event", F.when(well_formed, F.get("_parsed", F.lit(0))))
+        .drop("_parsed")
+    )
+
+
+class _Field(NamedTuple):
+    """One field's rule: how it is read, what it must satisfy, how it is stored."""
+
+    name: str
+    reader: coerce.Reader
+    default: Column | None = None
+    check: Callable[[Column], Column] = lambda value: F.lit(True)
+    clean: Callable[[Column], Column] = lambda value: value
+
+
+def _validate(messages: DataFrame, value_col: str, fields: list[_Field]) -> DataFrame:
+    """Typed fields and errors, in steps that each use the columns of the one before.
+
+    A step's columns are read several times by the next one, so Spark keeps the steps apart and
+    evaluates every lookup once per message.
+    """
+    keep, text = messages.columns, F.col(value_col).cast("string")
+    names = [f.name for f in fields]
+    first = F.get("_texts", F.lit(0))
+    texts = messages.withColumn("_texts", coerce.parse_objects(text, names, "STRING")).select(
+        *keep,
+        coerce.is_one_object(text, F.col("_texts")).alias("_ok"),
+        *[first.getField(n).alias(f"_{n}_text") for n in names],
+    )
+    usual = functools.reduce(
+        lambda all_usual, f: all_usual & f.reader.usual(F.col(f"_{f.name}_text")), fields, F.lit(True)
     )
+    doubted = texts.withColumn("_doubt", F.col("_ok") & ~F.coalesce(usual, F.lit(False)))
+    sent = (
+        doubted.withColumn("_sent", F.when(F.col("_doubt"), coerce.parse_objects(text, names, "VARIANT")))
+        .withColumns({f"_{n}": F.get("_sent", F.lit(0)).getField(n) for n in names})
+        .withColumns({f"_{n}_kind": F.schema_of_variant(f"_{n}") for n in names})
+    )
+
+    def absent(f: _Field) -> Column:
+        return F.col("_doubt") & F.col(f"_{f.name}_kind").isNull()
 
+    def value_of(f: _Field) -> Column:
+        again = f.reader.from_sent(coerce.Sent(F.col(f"_{f.name}"), F.col(f"_{f.name}_kind")))
+        value = F.when(F.col("_doubt"), again).otherwise(f.reader.from_text(F.col(f"_{f.name}_text")))
+        return value if f.default is None else F.when(absent(f), f.default).otherwise(value)
 
-class _Rules:
-    """Collects the output columns and broken-rule codes of one message type."""
-
-    def __init__(self) -> None:
-        self.doc = F.col(_DOC)
-        self.values: dict[str, Column] = {}
-        self.broken: list[Column] = []
-
-    def field(self, name: str, reader: Reader, default: Column | None = None,
-              check: Callable[[Column], Column] | None = None,
-              clean: Callable[[Column], Column] = lambda value: value) -> None:
-        value, acceptable = reader(self.doc, name)
-        absent = coerce.sent_type(self.doc, name).isNull()
-        if check is not None:
-            acceptable = acceptable & check(value)
-        acceptable = F.coalesce(acceptable, F.lit(False))
-        if default is None:
-            self.broken.append(
-                F.when(absent, F.lit(f"missing_{name}")).when(~acceptable, F.lit(f"invalid_{name}"))
-            )
-            self.values[name] = F.when(acceptable, clean(value))
-        else:
-            self.broken.append(F.when(~absent & ~acceptable, F.lit(f"invalid_{name}")))
-            self.values[name] = F.when(absent, default).when(acceptable, clean(value))
-
-    def apply(self, messages: DataFrame, value_col: str) -> DataFrame:
-        parsed = messages.withColumn(_DOC, coerce.parse_message(F.col(value_col).cast("string")))
-        well_formed = coerce.is_object(self.doc)
-        errors = (
-            F.when(~well_formed, F.array(F.lit("malformed_json")))
-            .otherwise(F.array_compact(F.array(*self.broken)))
-        )
-        typed = [
-            F.when(well_formed, value).alias(name) for name, value in self.values.items()
-        ]
-        return parsed.select(*messages.columns, *typed, errors.alias("errors"))
+    # Defaults are filled in before the rules are checked. The generated id, being random, also
+    # keeps a filter on the errors above this step instead of having it repeat the lookups below.
+    filled = sent.select(
+        *keep, "_ok",
+        *[absent(f).alias(f"_{f.name}_absent") for f in fields],
+        *[value_of(f).alias(f"_{f.name}_value") for f in fields],
+    )
+
+    def accepted(f: _Field) -> Column:
+        value = F.col(f"_{f.name}_value")
+        return value.isNotNull() & f.check(value)
+
+    def broken(f: _Field) -> Column:
+        code = F.lit(f"invalid_{f.name}")
+        if f.default is None:
+            code = F.when(F.col(f"_{f.name}_absent"), F.lit(f"missing_{f.name}")).otherwise(code)
+        return F.when(~accepted(f), code)
+
+    ok = F.col("_ok")
+    none = F.array(F.lit(None).cast("string"))
+    errors = (
+        F.when(ok, F.array_except(F.array(*[broken(f) for f in fields]), none))
+        .otherwise(F.array(F.lit("malformed_json")))
+    )
+    stored = [
+        F.when(ok & accepted(f), f.clean(F.col(f"_{f.name}_value"))).alias(f.name) for f in fields
+    ]
+    return filled.select(*keep, *stored, errors.alias("errors"))
 
 
 def _one_of(values: list[str]) -> Callable[[Column], Column]:
@@ -78,44 +111,47 @@ def _one_of(values: list[str]) -> Callable[[Column], Column]:
 
 
 def validate_impressions(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    rules = _Rules()
-    rules.field("impression_id", coerce.text, default=F.uuid())
-    for name in ("user_id", "advertiser_id", "campaign_id", "content_id"):
-        rules.field(name, coerce.text)
-    rules.field("bid_price", coerce.number, check=lambda v: v > 0, clean=lambda v: F.bround(v, 6))
-    rules.field("currency", coerce.text, check=_one_of(INGEST_CURRENCIES))
-    rules.field("country_code", coerce.text, check=lambda v: F.length(v) == 2, clean=F.upper)
-    rules.field("device_type", coerce.text, check=_one_of(DEVICES))
-    rules.field("ad_format", coerce.text, check=_one_of(AD_FORMATS))
-    rules.field("timestamp", coerce.instant, default=F.current_timestamp())
-    rules.field("is_fraud", coerce.boolean, default=F.lit(False))
-    return rules.apply(messages, value_col)
+    return _validate(messages, value_col, [
+        _Field("impression_id", coerce.text(), default=F.uuid()),
+        _Field("user_id", coerce.text()),
+        _Field("advertiser_id", coerce.text()),
+        _Field("campaign_id", coerce.text()),
+        _Field("content_id", coerce.text()),
+        _Field("bid_price", coerce.number(), check=lambda v: v > 0, clean=lambda v: F.bround(v, 6)),
+        _Field("currency", coerce.text(), check=_one_of(INGEST_CURRENCIES)),
+        _Field("country_code", coerce.text(), check=lambda v: F.length(v) == 2, clean=F.upper),
+        _Field("device_type", coerce.text(), check=_one_of(DEVICES)),
+        _Field("ad_format", coerce.text(), check=_one_of(AD_FORMATS)),
+        _Field("timestamp", coerce.instant(), default=F.current_timestamp()),
+        _Field("is_fraud", coerce.boolean(), default=F.lit(False)),
+    ])
 
 
 def validate_payments(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    rules = _Rules()
-    rules.field("payment_id", coerce.text, default=F.uuid())
-    for name in ("advertiser_id", "campaign_id"):
-        rules.field(name, coerce.text)
-    rules.field("amount", coerce.number, check=lambda v: v > 0, clean=lambda v: F.bround(v, 2))
-    rules.field("currency", coerce.text, check=_one_of(INGEST_CURRENCIES))
-    rules.field("impression_batch_id", coerce.text)
-    rules.field("payment_status", coerce.text, check=_one_of(PAYMENT_STATUSES))
-    rules.field("timestamp", coerce.instant, default=F.current_timestamp())
-    return rules.apply(messages, value_col)
+    return _validate(messages, value_col, [
+        _Field("payment_id", coerce.text(), default=F.uuid()),
+        _Field("advertiser_id", coerce.text()),
+        _Field("campaign_id", coerce.text()),
+        _Field("amount", coerce.number(), check=lambda v: v > 0, clean=lambda v: F.bround(v, 2)),
+        _Field("currency", coerce.text(), check=_one_of(INGEST_CURRENCIES)),
+        _Field("impression_batch_id", coerce.text()),
+        _Field("payment_status", coerce.text(), check=_one_of(PAYMENT_STATUSES)),
+        _Field("timestamp", coerce.instant(), default=F.current_timestamp()),
+    ])
 
 
 def validate_engagements(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    rules = _Rules()
-    rules.field("engagement_id", coerce.text, default=F.uuid())
-    for name in ("user_id", "content_id", "impression_id"):
-        rules.field(name, coerce.text)
-    rules.field("watch_duration_seconds", coerce.integer)
-    rules.field("completion_rate", coerce.number, check=lambda v: v.between(0.0, 1.0),
-                clean=lambda v: F.bround(v, 4))
-    rules.field("clicked", coerce.boolean)
-    rules.field("timestamp", coerce.instant, default=F.current_timestamp())
-    return rules.apply(messages, value_col)
+    return _validate(messages, value_col, [
+        _Field("engagement_id", coerce.text(), default=F.uuid()),
+        _Field("user_id", coerce.text()),
+        _Field("content_id", coerce.text()),
+        _Field("impression_id", coerce.text()),
+        _Field("watch_duration_seconds", coerce.integer()),
+        _Field("completion_rate", coerce.number(), check=lambda v: v.between(0.0, 1.0),
+               clean=lambda v: F.bround(v, 4)),
+        _Field("clicked", coerce.boolean()),
+        _Field("timestamp", coerce.instant(), default=F.current_timestamp()),
+    ])
 
 
 def valid(validated: DataFrame) -> DataFrame:

@@ -17,6 +17,16 @@ def _pick(index: str, values: list[str]) -> str:
     return f"CASE {index} {whens} END"
 
 
+def _round(value: str, places: int) -> str:
+    """Half-up rounding of decimal digits; DuckDB rounds the binary value of a double."""
+    return f"CAST(round(CAST({value} AS DECIMAL(30, 10)), {places}) AS DOUBLE)"
+
+
+def _sum(column: str, places: int = 4) -> str:
+    return f"sum(CAST({column} AS DECIMAL(18, {places})))"
+
+
+_SPEND = _sum("bid_price", 6)
 _COUNTRIES = ["US", "GB", "KE", "DE", "FR", "NG", "ZA", "IN", "BR", "CA"]
 _CURRENCIES = ["USD", "EUR", "GBP", "KES", "NGN", "ZAR", "INR", "BRL", "CAD"]
 _PROFILE_CURRENCIES = ["USD", "GBP", "KES", "EUR", "EUR", "NGN", "ZAR", "INR", "BRL", "CAD"]
@@ -94,11 +104,11 @@ enriched AS (
 legitimate AS (SELECT * FROM enriched WHERE is_fraud = false),
 fraud AS (SELECT * FROM enriched WHERE is_fraud = true)"""
 
-_HOURLY = """
+_HOURLY = f"""
   SELECT advertiser_id, date_trunc('hour', "timestamp") AS hour,
-    round(sum(bid_price), 4) AS total_spend,
+    {_round(_SPEND, 4)} AS total_spend,
     count(impression_id) AS impression_count,
-    round(sum(bid_price) / count(impression_id) * 1000, 4) AS avg_cpm,
+    {_round(_SPEND + ' / count(impression_id) * 1000', 4)} AS avg_cpm,
     count(*) FILTER (WHERE device_type = 'mobile') AS mobile_impressions,
     count(*) FILTER (WHERE ad_format = 'video') AS video_impressions,
     count(DISTINCT campaign_id) AS unique_campaigns,
@@ -127,10 +137,10 @@ CONTENT = SILVER + f""",
 core AS (
   SELECT {_DAY},
     count(impression_id) AS total_impressions,
-    round(sum(bid_price), 4) AS total_revenue,
-    round(sum(bid_price) / count(impression_id) * 1000, 4) AS avg_cpm,
-    round(avg(CASE WHEN account_tier IN ('premium', 'enterprise') THEN 1 ELSE 0 END), 4) AS premium_user_rate,
-    round(avg(CASE WHEN is_verified THEN 1 ELSE 0 END), 4) AS verified_user_rate
+    {_round(_SPEND, 4)} AS total_revenue,
+    {_round(_SPEND + ' / count(impression_id) * 1000', 4)} AS avg_cpm,
+    {_round("avg(CASE WHEN account_tier IN ('premium', 'enterprise') THEN 1 ELSE 0 END)", 4)} AS premium_user_rate,
+    {_round('avg(CASE WHEN is_verified THEN 1 ELSE 0 END)', 4)} AS verified_user_rate
   FROM legitimate GROUP BY {_DAY}),
 top_device AS ({_top("legitimate", _DAY, "device_type", "top_device")}),
 top_country AS ({_top("legitimate", _DAY, "country_code", "top_country")}),
@@ -145,8 +155,8 @@ FRAUD = SILVER + f""",
 daily AS (
   SELECT ingestion_date,
     count(impression_id) AS fraud_impression_count,
-    round(sum(bid_price), 4) AS fraud_revenue_at_risk,
-    round(avg(bid_price), 4) AS avg_fraud_bid_price,
+    {_round(_SPEND, 4)} AS fraud_revenue_at_risk,
+    {_round(_SPEND + ' / count(bid_price)', 4)} AS avg_fraud_bid_price,
     count(DISTINCT advertiser_id) AS advertisers_targeted,
     count(DISTINCT country_code) AS countries_affected
   FROM fraud GROUP BY ingestion_date),
@@ -244,11 +254,11 @@ _CTES_AND_SELECTS = {
         SELECT * EXCLUDE (event_id, copy, errors), CAST("timestamp" AS DATE) AS ingestion_date
         FROM checked WHERE errors = ''"""),
     "ingest_rejected": (MESSAGES, "SELECT event_id, copy, errors FROM checked WHERE errors <> ''"),
-    "ingest_stats": (MESSAGES, """
+    "ingest_stats": (MESSAGES, f"""
         SELECT count(*) FILTER (WHERE errors = '') AS valid_count,
           count(*) FILTER (WHERE errors <> '') AS invalid_count,
           count(*) FILTER (WHERE errors = '' AND is_fraud) AS fraud_count,
-          round(count(*) FILTER (WHERE errors = '' AND is_fraud) / count(*) FILTER (WHERE errors = ''), 4) AS fraud_rate
+          {_round("count(*) FILTER (WHERE errors = '' AND is_fraud) / count(*) FILTER (WHERE errors = '')", 4)} AS fraud_rate
         FROM checked"""),
     "fraud_alerts": (MESSAGES, """
         SELECT impression_id, user_id, bid_price, advertiser_id FROM checked WHERE errors = '' AND is_fraud"""),
@@ -267,10 +277,10 @@ _CTES_AND_SELECTS = {
     "missing_profiles": (SILVER, "SELECT impression_id, user_id FROM enriched WHERE account_tier IS NULL"),
     "enrich_stats": (SILVER, """
         SELECT count(*) AS total, count(*) FILTER (WHERE account_tier IS NULL) AS missing_profiles FROM enriched"""),
-    "split_stats": (SILVER, """
+    "split_stats": (SILVER, f"""
         SELECT (SELECT count(*) FROM legitimate) AS legitimate, (SELECT count(*) FROM fraud) AS fraud,
           (SELECT count(*) FROM enriched WHERE is_fraud IS NULL) AS unflagged,
-          round((SELECT count(*) FROM fraud) / (SELECT count(*) FROM enriched), 4) AS fraud_rate"""),
+          {_round('(SELECT count(*) FROM fraud) / (SELECT count(*) FROM enriched)', 4)} AS fraud_rate"""),
     "silver_legitimate": (SILVER, "SELECT * FROM legitimate"),
     "silver_fraud": (SILVER, "SELECT * FROM fraud"),
     "revenue_by_advertiser": (REVENUE, "SELECT * FROM revenue"),
@@ -282,71 +292,71 @@ _CTES_AND_SELECTS = {
     "fraud_daily": (FRAUD, "SELECT * FROM daily"),
     "fraud_top_advertiser": (FRAUD, "SELECT * FROM top_advertiser"),
     "fraud_summary": (FRAUD, "SELECT * FROM fraud_days"),
-    "fraud_by_country": (SILVER, """
+    "fraud_by_country": (SILVER, f"""
         SELECT ingestion_date, country_code, count(impression_id) AS fraud_impression_count,
-          round(sum(bid_price), 4) AS fraud_revenue_at_risk
+          {_round(_SPEND, 4)} AS fraud_revenue_at_risk
         FROM fraud GROUP BY ingestion_date, country_code"""),
-    "dash_summary": (CONTENT + FRAUD[len(SILVER):], """
-        SELECT (SELECT round(sum(total_revenue), 2) FROM content) AS total_revenue,
+    "dash_summary": (CONTENT + FRAUD[len(SILVER):], f"""
+        SELECT (SELECT {_round(_sum('total_revenue'), 2)} FROM content) AS total_revenue,
           CAST((SELECT sum(total_impressions) FROM content) AS BIGINT) AS total_impressions,
           CAST((SELECT sum(fraud_impression_count) FROM fraud_days) AS BIGINT) AS total_fraud,
-          (SELECT round(sum(fraud_revenue_at_risk), 4) FROM fraud_days) AS fraud_revenue_at_risk,
+          (SELECT {_round(_sum('fraud_revenue_at_risk'), 4)} FROM fraud_days) AS fraud_revenue_at_risk,
           (SELECT count(DISTINCT content_id) FROM content) AS active_content"""),
     "dash_top_advertisers": (REVENUE, """
         SELECT advertiser_id, hour, total_spend, impression_count, avg_cpm FROM revenue
         ORDER BY total_spend DESC, advertiser_id, hour LIMIT 10"""),
     "dash_cpm_top8": (REVENUE, """
         SELECT advertiser_id, hour, avg_cpm FROM revenue ORDER BY total_spend DESC, advertiser_id, hour LIMIT 8"""),
-    "dash_top_content": (CONTENT, """
+    "dash_top_content": (CONTENT, f"""
         SELECT content_id, ingestion_date, total_revenue, total_impressions, avg_cpm, top_device, top_country,
-          top_ad_format, round(premium_user_rate * 100, 1) AS premium_user_pct,
-          round(verified_user_rate * 100, 1) AS verified_user_pct
+          top_ad_format, {_round('premium_user_rate * 100', 1)} AS premium_user_pct,
+          {_round('verified_user_rate * 100', 1)} AS verified_user_pct
         FROM content ORDER BY total_revenue DESC, content_id, ingestion_date LIMIT 15"""),
     "dash_fraud_latest": (FRAUD, "SELECT * FROM fraud_days ORDER BY ingestion_date DESC LIMIT 1"),
-    "dash_fraud_rollup": (FRAUD, """
+    "dash_fraud_rollup": (FRAUD, f"""
         SELECT CAST(sum(fraud_impression_count) AS BIGINT) AS fraud_impression_count,
-          round(sum(fraud_revenue_at_risk), 2) AS fraud_revenue_at_risk,
-          round(avg(avg_fraud_bid_price), 2) AS avg_fraud_bid_price,
-          round(sum(fraud_revenue_at_risk) / sum(fraud_impression_count), 2) AS weighted_avg_bid_price,
+          {_round(_sum('fraud_revenue_at_risk'), 2)} AS fraud_revenue_at_risk,
+          {_round(_sum('avg_fraud_bid_price') + ' / count(*)', 2)} AS avg_fraud_bid_price,
+          {_round(_sum('fraud_revenue_at_risk') + ' / sum(fraud_impression_count)', 2)} AS weighted_avg_bid_price,
           max(advertisers_targeted) AS advertisers_targeted, max(countries_affected) AS countries_affected,
           arg_max(top_targeted_advertiser, ingestion_date) AS top_targeted_advertiser,
           count(*) AS fraud_days
         FROM fraud_days"""),
-    "dash_device_split": (CONTENT, """
-        SELECT top_device, round(sum(total_revenue), 2) AS total_revenue, count(*) AS content_count
+    "dash_device_split": (CONTENT, f"""
+        SELECT top_device, {_round(_sum('total_revenue'), 2)} AS total_revenue, count(*) AS content_count
         FROM content GROUP BY top_device"""),
-    "dash_country_revenue": (CONTENT, """
-        SELECT top_country, round(sum(total_revenue), 2) AS total_revenue, count(*) AS content_count
+    "dash_country_revenue": (CONTENT, f"""
+        SELECT top_country, {_round(_sum('total_revenue'), 2)} AS total_revenue, count(*) AS content_count
         FROM content GROUP BY top_country"""),
-    "quality_gate": (REVENUE, """
+    "quality_gate": (REVENUE, f"""
         , figures AS (
           SELECT (SELECT count(*) FROM legitimate) AS silver_rows, (SELECT count(*) FROM revenue) AS gold_rows,
             (SELECT count(*) FROM bronze) AS bronze_rows,
             (SELECT count(*) FROM bronze WHERE is_fraud = true) AS fraud_rows)
         SELECT *, silver_rows > 0 AS silver_not_empty, gold_rows > 0 AS gold_not_empty,
-          fraud_rows / bronze_rows < 0.10 AS fraud_rate_ok, round(fraud_rows / bronze_rows, 4) AS fraud_rate,
+          fraud_rows / bronze_rows < 0.10 AS fraud_rate_ok, {_round('fraud_rows / bronze_rows', 4)} AS fraud_rate,
           silver_rows > 0 AND gold_rows > 0 AND fraud_rows / bronze_rows < 0.10 AS passed
         FROM figures"""),
     "null_rates": (SOURCE, " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count(*) - count("{c}") AS null_count,
-              round((count(*) - count("{c}")) / count(*), 4) AS null_rate,
+              {_round(f'(count(*) - count("{c}")) / count(*)', 4)} AS null_rate,
               (count(*) - count("{c}")) / count(*) <= 0.05 AS within_limit FROM bronze"""
         for c in ["impression_id", "user_id", "advertiser_id", "campaign_id", "content_id", "bid_price",
                   "currency", "country_code", "device_type", "ad_format", "timestamp", "is_fraud"])),
-    "payment_reconciliation": (SILVER + "," + PAYMENTS, """
+    "payment_reconciliation": (SILVER + "," + PAYMENTS, f"""
         SELECT p.payment_id, p.advertiser_id, p.campaign_id, p.amount, p.payment_status, p."timestamp",
           count(i.advertiser_id) AS matched_impressions,
-          round(coalesce(sum(i.bid_price), 0), 4) AS matched_spend,
+          {_round('coalesce(' + _sum('i.bid_price', 6) + ', 0)', 4)} AS matched_spend,
           count(i.advertiser_id) > 0 AS reconciled
         FROM payments p LEFT JOIN legitimate i
           ON i.advertiser_id = p.advertiser_id AND i.campaign_id = p.campaign_id
          AND i."timestamp" BETWEEN p."timestamp" - INTERVAL 6 HOUR AND p."timestamp"
         GROUP BY ALL"""),
-    "engagement_by_content": (SILVER + "," + ENGAGEMENTS, """
+    "engagement_by_content": (SILVER + "," + ENGAGEMENTS, f"""
         SELECT i.content_id, count(DISTINCT i.impression_id) AS impressions, count(e.engagement_id) AS engagements,
           CAST(coalesce(sum(e.watch_duration_seconds), 0) AS BIGINT) AS watch_seconds,
-          round(avg(e.completion_rate), 4) AS avg_completion_rate,
-          round(count(*) FILTER (WHERE e.clicked) / count(DISTINCT i.impression_id), 4) AS click_rate
+          {_round(_sum('e.completion_rate') + ' / count(e.completion_rate)', 4)} AS avg_completion_rate,
+          {_round('count(*) FILTER (WHERE e.clicked) / count(DISTINCT i.impression_id)', 4)} AS click_rate
         FROM legitimate i LEFT JOIN engagements e ON e.impression_id = i.impression_id
         GROUP BY i.content_id"""),
     "sink_bronze_append": (SOURCE, "SELECT * FROM bronze"),

@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot does not compile methods above 8000 bytes of bytecode; without this limit the wide
+    # projections of message validation would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Streaming state on disk: the state of a deduplication grows with the watermark delay.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlumen.functions.columns import cpm
+from adlumen.functions.columns import amount, cpm, micros
 from adlumen.operators.silver import clean_rows, flag_quality, legitimate_rows
 
 
@@ -27,7 +27,7 @@ def hourly_revenue_stream(impressions: DataFrame, delay: str = "1 hour") -> Data
     served = legitimate_rows(clean_rows(flag_quality(dedup_stream(impressions, delay))))
     hour = F.window("timestamp", "1 hour")
     per_campaign = served.groupBy(hour, "advertiser_id", "campaign_id").agg(
-        F.sum("bid_price").alias("spend"),
+        F.sum(micros("bid_price")).alias("spend"),
         F.count("impression_id").alias("impressions"),
         F.count_if(F.col("device_type") == "mobile").alias("mobile"),
         F.count_if(F.col("ad_format") == "video").alias("video"),
@@ -35,7 +35,7 @@ def hourly_revenue_stream(impressions: DataFrame, delay: str = "1 hour") -> Data
     return (
         per_campaign.groupBy(F.window(F.window_time("window"), "1 hour"), "advertiser_id")
         .agg(
-            F.round(F.sum("spend"), 4).alias("total_spend"),
+            amount(F.sum("spend")).alias("total_spend"),
             F.sum("impressions").alias("impression_count"),
             cpm(F.sum("spend"), F.sum("impressions")).alias("avg_cpm"),
             F.sum("mobile").alias("mobile_impressions"),
