@@ -132,9 +132,9 @@ def _instant(sent: Sent) -> Column:
     raw, epoch = F.trim(sent.get("string")), sent.get("double")
     seconds = F.when(F.abs(epoch) <= EPOCH_SECONDS_LIMIT, epoch).otherwise(epoch / 1000)
     is_epoch = sent.is_number | (sent.is_string & raw.rlike(NUMBER_TEXT))
+    iso = F.regexp_replace(F.translate(raw, "_tz,", "TTZ."), r"([T ]\d{2}:\d{2})(?!:)", "$1:00")
     return (
-        F.when(sent.is_string & raw.rlike(TIMESTAMP_TEXT),
-               F.translate(raw, "_tz,", "TTZ.").try_cast("timestamp"))
+        F.when(sent.is_string & raw.rlike(TIMESTAMP_TEXT), iso.try_cast("timestamp"))
         .when(is_epoch, F.timestamp_micros((seconds * 1_000_000).try_cast("long")))
     )
 

@@ -179,7 +179,7 @@ def with_ingestion_date(impressions: DataFrame) -> DataFrame:
 
 def ingest_stats(validated: DataFrame) -> DataFrame:
     """One row: valid, invalid and fraud counts and the fraud share of the valid ones."""
-    is_valid = F.size("errors") == 0
+    is_valid = F.coalesce(F.size("errors"), F.lit(0)) == 0  # stored valid rows have no list
     counts = validated.agg(
         F.count_if(is_valid).alias("valid_count"),
         F.count_if(~is_valid).alias("invalid_count"),

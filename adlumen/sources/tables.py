@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from adlumen.operators.validate import with_ingestion_date
+from adlumen.operators.validate import ingest_stats, with_ingestion_date
 from adlumen.schemas import (
     BRONZE_COLUMNS, IMPRESSION_COLUMNS, INGEST_SCHEMA, QUARANTINE_COLUMNS, SILVER_COLUMNS,
     SILVER_SCHEMA,
@@ -134,12 +134,7 @@ def read_rejects(spark: SparkSession, tables: Tables) -> DataFrame:
 
 def stored_ingest_stats(spark: SparkSession, tables: Tables) -> DataFrame:
     """Totals over all stored batches; unlike counters in a process they survive a restart."""
-    is_valid = F.col("outcome") == "valid"
-    return read_ingest(spark, tables).agg(
-        F.count_if(is_valid).alias("valid_count"),
-        F.count_if(~is_valid).alias("invalid_count"),
-        F.count_if(is_valid & F.col("is_fraud")).alias("fraud_count"),
-    )
+    return ingest_stats(read_ingest(spark, tables))
 
 
 # --- silver -------------------------------------------------------------------------------
