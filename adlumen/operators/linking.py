@@ -38,9 +38,7 @@ def payment_reconciliation(payments: DataFrame, impressions: DataFrame,
         "payment_id", *_PAIR, "amount", "payment_status", "timestamp",
         *minute_and_offset(),
     )
-    seen = impressions.where(
-        F.col("advertiser_id").isNotNull() & F.col("campaign_id").isNotNull()
-    ).select(
+    seen = impressions.dropna(subset=[*_PAIR, "timestamp"]).select(
         *_PAIR, micros("bid_price").alias("spend"),
         *minute_and_offset(),
     )
@@ -48,10 +46,12 @@ def payment_reconciliation(payments: DataFrame, impressions: DataFrame,
 
 
 def _reconcile(paid: DataFrame, seen: DataFrame, span: int) -> DataFrame:
+    # Payments without advertiser, campaign or time match nothing and would only pile up.
+    matchable = paid.dropna(subset=[*_PAIR, "minute"])
     # Whole minutes. Minutes that only have payments enter with zero, to be looked up later.
     per_minute = (
         seen.select(*_PAIR, "minute", F.lit(1).alias("n"), "spend")
-        .unionByName(paid.select(*_PAIR, "minute", F.lit(0).alias("n"), F.lit(0).cast("long").alias("spend")))
+        .unionByName(matchable.select(*_PAIR, "minute", F.lit(0).alias("n"), F.lit(0).cast("long").alias("spend")))
         .groupBy(*_PAIR, "minute").agg(F.sum("n").alias("n"), F.sum("spend").alias("spend"))
     )
     inside = Window.partitionBy(*_PAIR).orderBy("minute").rangeBetween(-(span - 1), -1)
@@ -60,7 +60,7 @@ def _reconcile(paid: DataFrame, seen: DataFrame, span: int) -> DataFrame:
     ).where("n > 0")
 
     # Edges. A payment puts one mark into its own minute and one into the span's first minute.
-    marks = paid.select(
+    marks = matchable.select(
         "payment_id", *_PAIR, "offset",
         F.explode(F.array(
             F.struct(F.lit("last").alias("edge"), F.col("minute").alias("minute")),

@@ -59,8 +59,13 @@ def _legitimate(spark, d):
     return _silver(spark, d).legitimate
 
 
-def _fraud(spark, d):
-    return _silver(spark, d).fraud
+def _served(spark, d):
+    """Legitimate impressions for queries that read no profile column: the join is left out."""
+    return silver.legitimate_rows(_clean(spark, d))
+
+
+def _caught(spark, d):
+    return silver.fraud_rows(_clean(spark, d))
 
 
 # --- sources ------------------------------------------------------------------------------
@@ -224,14 +229,14 @@ def silver_legitimate(spark, d):
 
 @query
 def silver_fraud(spark, d):
-    return _fraud(spark, d)
+    return _silver(spark, d).fraud
 
 
 # --- gold ---------------------------------------------------------------------------------
 
 
 def _revenue(spark, d):
-    return gold.revenue_by_advertiser(_legitimate(spark, d))
+    return gold.revenue_by_advertiser(_served(spark, d))
 
 
 def _content(spark, d):
@@ -239,7 +244,7 @@ def _content(spark, d):
 
 
 def _fraud_days(spark, d):
-    return gold.fraud_summary(_fraud(spark, d))
+    return gold.fraud_summary(_caught(spark, d))
 
 
 @query
@@ -254,17 +259,17 @@ def content_core(spark, d):
 
 @query
 def content_top_device(spark, d):
-    return gold.content_top_device(_legitimate(spark, d))
+    return gold.content_top_device(_served(spark, d))
 
 
 @query
 def content_top_country(spark, d):
-    return gold.content_top_country(_legitimate(spark, d))
+    return gold.content_top_country(_served(spark, d))
 
 
 @query
 def content_top_format(spark, d):
-    return gold.content_top_format(_legitimate(spark, d))
+    return gold.content_top_format(_served(spark, d))
 
 
 @query
@@ -274,12 +279,12 @@ def content_performance(spark, d):
 
 @query
 def fraud_daily(spark, d):
-    return gold.fraud_daily(_fraud(spark, d))
+    return gold.fraud_daily(_caught(spark, d))
 
 
 @query
 def fraud_top_advertiser(spark, d):
-    return gold.fraud_top_advertiser(_fraud(spark, d))
+    return gold.fraud_top_advertiser(_caught(spark, d))
 
 
 @query
@@ -289,7 +294,7 @@ def fraud_summary(spark, d):
 
 @query
 def fraud_by_country(spark, d):
-    return gold.fraud_by_country(_fraud(spark, d))
+    return gold.fraud_by_country(_caught(spark, d))
 
 
 # --- serving and gate ---------------------------------------------------------------------
@@ -337,7 +342,7 @@ def dash_country_revenue(spark, d):
 
 @query
 def quality_gate(spark, d):
-    return gate.quality_gate(bronze(spark, d), _legitimate(spark, d), _revenue(spark, d))
+    return gate.quality_gate(bronze(spark, d), _served(spark, d), _revenue(spark, d))
 
 
 @query
@@ -350,12 +355,12 @@ def null_rates(spark, d):
 
 @query
 def payment_reconciliation(spark, d):
-    return linking.payment_reconciliation(fixtures.payments(spark, d), _legitimate(spark, d))
+    return linking.payment_reconciliation(fixtures.payments(spark, d), _served(spark, d))
 
 
 @query
 def engagement_by_content(spark, d):
-    return linking.engagement_by_content(fixtures.engagements(spark, d), _legitimate(spark, d))
+    return linking.engagement_by_content(fixtures.engagements(spark, d), _served(spark, d))
 
 
 # --- sinks --------------------------------------------------------------------------------
