@@ -170,7 +170,7 @@ sent AS (
     event_id % 53 = 0 AS bad_json,
     event_id % 59 = 0 OR (user_id IS NULL) AS no_user,
     event_id % 59 <> 0 AND user_id IS NOT NULL AND event_id % 73 = 0 AS number_user,
-    event_id % 61 = 0 AS negative_bid,
+    event_id % 61 = 0 OR coalesce(bid_price <= 0, false) AS negative_bid,
     event_id % 61 <> 0 AND bid_price IS NULL AS no_bid,
     currency NOT IN ('USD','EUR','GBP','KES') AS bad_currency,
     event_id % 67 = 0 AS long_country,
@@ -237,10 +237,10 @@ _CTES_AND_SELECTS = {
     "validate_impressions": (MESSAGES, "SELECT * FROM checked"),
     "validate_payments": (PAYMENTS, """
         SELECT event_id, payment_id, advertiser_id, campaign_id,
-          CASE WHEN event_id % 13 <> 0 THEN amount END AS amount,
+          CASE WHEN event_id % 13 <> 0 AND amount > 0 THEN amount END AS amount,
           currency, impression_batch_id,
           CASE WHEN event_id % 17 <> 0 THEN payment_status END AS payment_status, "timestamp",
-          concat_ws(',', CASE WHEN event_id % 13 = 0 THEN 'invalid_amount' END,
+          concat_ws(',', CASE WHEN event_id % 13 = 0 OR amount <= 0 THEN 'invalid_amount' END,
                          CASE WHEN event_id % 17 = 0 THEN 'invalid_payment_status' END) AS errors
         FROM payments"""),
     "validate_engagements": (ENGAGEMENTS, """
