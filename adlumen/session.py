@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -51,10 +52,13 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path for intermediate tables, on the storage all executors share.
 
-    The cluster names that storage in ``spark.checkpoint.dir``. Where it is unset (a bare local
-    session) a temporary folder of this machine serves.
+    The cluster names that storage in ``spark.checkpoint.dir``. Where it is unset, a temporary
+    folder of this machine serves a session that runs on this machine alone; on a cluster each
+    executor would write to its own disk, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="adlumen-")
     return f"{root.rstrip('/')}/adlumen/{name}-{uuid.uuid4().hex}"
