@@ -34,6 +34,7 @@ CROWD = 256
 # A task's buffer is 1 MB or one text, so a text may have up to 2 ** 28 symbols.
 PLACE_BITS = 28
 DIGEST = 16
+SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -151,8 +152,10 @@ def repeated(packed: DataFrame, parts: int) -> DataFrame:
             yield found(h[keep], i[keep], p[keep], False, total[keep] >= CROWD)
 
     rows = c.stored(packed.repartition(parts, "part").mapInArrow(run, "hash long, id long, place int, known boolean, crowded boolean"), "anchors")
-    crowds = rows.where("crowded").select("hash").distinct().withColumn("crowd", F.lit(True))
-    later = rows.where("known").drop("crowded").join(crowds, "hash", "left").select("id", "place", F.coalesce("crowd", F.lit(False)).alias("crowded"))
+    # Salted: one anchor may have a third of all rows.
+    crowds = rows.where("crowded").select("hash").distinct().select("hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("crowd"))
+    known = rows.where("known").select("hash", "id", "place", F.pmod(F.xxhash64("id", "place"), F.lit(SALTS)).cast("int").alias("salt"))
+    later = known.join(crowds, ["hash", "salt"], "left").select("id", "place", F.coalesce("crowd", F.lit(False)).alias("crowded"))
     return rows.where("not known").select("id", "place", "crowded").unionByName(later)
 
 
