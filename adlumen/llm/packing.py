@@ -34,8 +34,8 @@ from adlumen.llm.tokens import encoder
 
 CAPACITY = 1024
 END = 2
-SMALL = 1 / 8
-GROUPS = 48
+SMALL = 0.45
+GROUPS = 96
 
 
 def grouped_sizes(counts: dict[int, int], groups: int) -> list[tuple[int, dict[int, int]]]:
