@@ -7,14 +7,18 @@ takes them.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+import zipfile
+from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import adlumen
 from adlumen.session import scratch_dir
 
 # Bytes of text that a task turns into arrays at once; arrays take some 60 times as much.
@@ -144,19 +148,6 @@ def batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-def gathered(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
-    """Batches put together until they hold ``limit`` bytes."""
-    held, size = [], 0
-    for one in batches:
-        held.append(one)
-        size += one.nbytes
-        if size >= limit:
-            yield pa.Table.from_batches(held)
-            held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def parts_for(documents: DataFrame, text: str, part_bytes: int = 8 << 20) -> int:
     """How many parts hold about ``part_bytes`` of text each, and no fewer than shuffles use."""
     total = documents.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
@@ -172,6 +163,20 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors, once for each application."""
+    context = spark.sparkContext
+    if getattr(context, "_has_adlumen", False):
+        return
+    root = Path(adlumen.__file__).resolve().parent
+    file = Path(tempfile.mkdtemp(prefix="adlumen-")) / "adlumen.zip"
+    with zipfile.ZipFile(file, "w") as out:
+        for module in sorted(root.rglob("*.py")):
+            out.write(module, str(module.relative_to(root.parent)))
+    context.addPyFile(str(file))
+    context._has_adlumen = True
+
+
 def forget(frame: DataFrame) -> None:
     """Delete the files of a table made by ``stored``."""
     spark = frame.sparkSession
