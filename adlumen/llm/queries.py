@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import common, decontaminate, fingerprints, language, near_dedup, packing, substring_dedup, suffix_dedup
+from adlumen.llm import common, decontaminate, fingerprints, html_text, language, near_dedup, packing, substring_dedup, suffix_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.sample_edits())
+    return counted.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -38,12 +43,17 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op2_language_id, op3_substring_dedup, op4_decontamination, op6_fingerprints, op7_best_fit_packing, op10_suffix_array_dedup)
+    f.__name__: f for f in (op1_near_dedup, op2_language_id, op3_substring_dedup, op4_decontamination, op5_token_counts, op6_fingerprints, op7_best_fit_packing, op9_html_extraction, op10_suffix_array_dedup)
 }
 
 ORACLE: dict[str, str] = {}
