@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from adlumen.llm import common as c
 
@@ -163,7 +163,7 @@ def identify(documents: DataFrame, model: Model, text: str = "text") -> DataFram
     return documents.mapInArrow(run, schema)
 
 
-def held_out(doc_id: str = "doc_id") -> F.Column:
+def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 

@@ -8,11 +8,13 @@ band are candidates, and candidates are confirmed on their full shingle sets. Wi
 values a pair at a similarity of exactly 0.8 is missed with a probability of 3 in a million.
 
 Large buckets are not paired out. Documents with equal sets are one class from the start. Every
-bucket first compares its members with one pivot, its smallest member; what that links is joined to
-components. Only members of different components in one bucket are left to compare, and those
-outside the bucket's largest component are compared with all others, unless that would still be many
-times the members; then another pivot goes first. All pairs of different components in a bucket end
-up compared, so no link that would change a component is left out.
+bucket first compares its members with one pivot, the member that shares most buckets with others,
+as the original of many edited copies does; what that links is joined to components. Only members of
+different components in one bucket are left to compare. Where few are outside the bucket's largest
+component, they are compared with all others. In the other buckets, prefix filtering finds the rest:
+sets that are similar enough share one of the rarest shingles of each, so documents of different
+components meet only there. Both steps are exact, so no link that would change a component is lost
+after the bands.
 """
 
 from __future__ import annotations
@@ -22,14 +24,14 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adlumen.llm import common as c
 from adlumen.llm.components import components
 
 PERMUTATIONS = 80
 ROWS = 5
-# Comparisons for each bucket member up to which the rest is compared at once.
+# So many members outside a bucket's largest component are compared with all others at once.
 PATIENCE = 8
 
 _random = np.random.default_rng(7919)
@@ -118,39 +120,57 @@ def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     return both.select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long")
 
 
-def _bucket_links(members: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame | None:
-    """Labels of the components among the members of all buckets."""
-
-    def near_size(x: str, y: str) -> F.Column:
-        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
-
-    pivots = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"), "size", "pivot_size").where(near_size("size", "pivot_size"))
-    links = c.stored(linked(pairs := pivots.select("a", "b").distinct(), texts, n, percent), "links")
-    rest = members.where("id <> pivot").select("key", "id", "size")
-    rounds, before = 0, None
-    while True:
-        labels = components(links)
-        named = rest.join(labels.select(F.col("v").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        kinds = named.groupBy("key", "label").agg(F.count("*").alias("n"))
-        largest = kinds.groupBy("key").agg(F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
-        open_rows = c.stored(named.join(largest.select("key", "members", F.col("top.label").alias("main"), (F.col("members") - F.col("top.n")).alias("odd")), "key"), "open")
-        total, cost = open_rows.groupBy("key").agg(F.count("*").alias("n"), F.max("odd").alias("odd")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("odd")), F.lit(0))).first()
-        if not total:
-            return labels
-        final = cost <= PATIENCE * total + 1000 or (before is not None and cost > 0.9 * before and rounds > 3)
-        before, rounds = cost, rounds + 1
-        if final:
-            odd = open_rows.where("label <> main").select("key", F.col("id").alias("a"), F.col("label").alias("la"), F.col("size").alias("na"))
-            other = open_rows.select("key", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("size").alias("nb"), (F.col("label") == F.col("main")).alias("common"))
-            pairs = odd.join(other, "key").where((F.col("la") != F.col("lb")) & (F.col("common") | (F.col("a") < F.col("b"))) & near_size("na", "nb"))
-        else:
-            chosen = open_rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(rounds)).alias("h"), "id", "label", "size")).alias("pivot"))
-            tried = open_rows.join(chosen, "key")
-            pairs = tried.where((F.col("label") != F.col("pivot.label")) & near_size("size", "pivot.size")).select(F.col("id").alias("a"), F.col("pivot.id").alias("b"))
-            rest = c.stored(tried.where(F.col("id") != F.col("pivot.id")).select("key", "id", "size"), "rest")
-        links = c.stored(links.unionByName(linked(pairs.select("a", "b").distinct(), texts, n, percent)), "links")
-        if final:
-            return components(links)
+def _near_size(x: str, y: str, percent: int) -> Column:
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
+def _across(rows: DataFrame, group: str, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``rows (group, id, label, size)`` of one group with different labels. One of
+    each pair is outside the largest label of the group, so a group of one label costs nothing."""
+    kinds = rows.groupBy(group, "label").agg(F.count("*").alias("n"))
+    largest = kinds.groupBy(group).agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1").select(group, F.col("top.label").alias("main"))
+    named = rows.join(largest, group)
+    odd = named.where("label <> main").select(group, F.col("id").alias("a"), F.col("label").alias("la"), F.col("size").alias("na"))
+    others = named.select(group, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("size").alias("nb"), (F.col("label") == F.col("main")).alias("common"))
+    return odd.join(others, group).where((F.col("la") != F.col("lb")) & (F.col("common") | (F.col("a") < F.col("b"))) & _near_size("na", "nb", percent)).select("a", "b").distinct()
+
+
+def _rare_shingles(rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """``rows (id, label, size)`` with those of their shingles that a similar set must share one of:
+    the rarest ``size - ceil(size * percent / 100) + 1`` in an order that is the same for all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one in batches:
+            for k, packed in enumerate(one.column("packed").to_pylist()):
+                data = np.frombuffer(c.decompress(packed), np.uint8)
+                hashes = shingle_hashes(data, np.array([0, len(data)]), n)[0].view(np.int64)
+                same = [pa.array(np.full(len(hashes), one.column(x)[k].as_py(), np.int64)) for x in ("id", "label")]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(np.full(len(hashes), len(hashes))), pa.array(hashes)], ["id", "label", "size", "shingle"])
+
+    found = texts.join(rows.select("id", "label"), "id").select("id", "label", "packed")
+    shingles = c.stored(found.mapInArrow(run, "id long, label long, size long, shingle long"), "shingles")
+    often = shingles.groupBy("shingle").agg(F.count("*").alias("n"), (F.min("label") != F.max("label")).alias("meets"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle"))
+    first = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    return shingles.join(often, "shingle").withColumn("rank", rank).where((F.col("rank") <= first) & F.col("meets")).select("shingle", "id", "label", "size")
+
+
+def bucket_links(members: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Labels (v, label) of the components among ``members (key, id, size, weight)`` of buckets."""
+    pivots = members.groupBy("key").agg(F.max(F.struct("weight", -F.col("id"), "size")).alias("p")).select("key", (-F.col("p.col2")).alias("pivot"), F.col("p.size").alias("pivot_size"))
+    members = c.stored(members.join(pivots, "key"), "members")
+    tried = members.where((F.col("id") != F.col("pivot")) & _near_size("size", "pivot_size", percent)).select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    links = c.stored(linked(tried, texts, n, percent), "links")
+    labels = components(links)
+    rest = members.where("id <> pivot").select("key", "id", "size").join(labels.select(F.col("v").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    kinds = rest.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("members"), F.max("n").alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
+    rest = c.stored(rest.join(kinds.select("key", (F.col("members") - F.col("top") <= PATIENCE).alias("few")), "key"), "rest")
+    pairs = _across(rest.where("few"), "key", percent)
+    large = rest.where("not few").select("id", "label", "size").distinct()
+    if not large.isEmpty():
+        pairs = pairs.unionByName(_across(_rare_shingles(large, texts, n, percent), "shingle", percent)).distinct()
+    more = c.stored(linked(pairs, texts, n, percent), "links")
+    return labels if more.isEmpty() else components(links.unionByName(more))
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -172,17 +192,18 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     classes = c.stored(classes, "classes")
     heads = usable.join(classes.select("digest", "head", "size"), "digest").where("doc_id = head")
     rows = heads.select(F.col("head").alias("id"), "size", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.min(F.struct("id", "size")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    members = c.stored(rows.join(buckets, "key").select("key", "id", "size", F.col("first.id").alias("pivot"), F.col("first.size").alias("pivot_size")), "members")
+    buckets = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = c.stored(rows.join(buckets, "key"), "members")
+    weights = members.groupBy("id").agg(F.sum("n").alias("weight"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one in batches:
             some = [c.compress(b" ".join((x or "").encode().lower().split())) for x in one.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([one.column("id"), pa.array(some, pa.binary())], ["id", "packed"])
 
-    wanted = members.select("id").distinct()
+    wanted = weights.select("id")
     held = c.stored(texts.mapInArrow(packed, "id long, packed binary").join(wanted, "id", "left_semi"), "texts")
-    labels = _bucket_links(members, held, shingle, percent)
+    labels = bucket_links(members.join(weights, "id").select("key", "id", "size", "weight"), held, shingle, percent)
     named = signed.join(classes.select("digest", "head"), "digest", "left").join(labels.select(F.col("v").alias("head"), "label"), "head", "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "head", "doc_id"))
     return named.select("doc_id", "n_shingles", group.alias("component_id"), (F.col("doc_id") == group).alias("kept"))
