@@ -20,6 +20,7 @@ after the bands.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -99,22 +100,20 @@ def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     """Those of ``pairs (a, b)`` whose full shingle sets are similar; ``texts (id, packed)``."""
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("pa")), "a").join(texts.select(F.col("id").alias("b"), F.col("packed").alias("pb")), "b")
 
-    def hashes(packed: bytes) -> np.ndarray:
-        data = np.frombuffer(c.decompress(packed), np.uint8)
-        return shingle_hashes(data, np.array([0, len(data)]), n)[0]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, np.zeros(0, np.uint64)
+        @lru_cache(2000)  # members of one bucket come again and again
+        def hashes(packed: bytes) -> np.ndarray:
+            data = np.frombuffer(c.decompress(packed), np.uint8)
+            return shingle_hashes(data, np.array([0, len(data)]), n)[0]
+
         for one in batches:
             a, b = [], []
-            for row in one.to_pylist():
-                if row["pb"] != last:  # the join leaves equal b together
-                    last, held = row["pb"], hashes(row["pb"])
-                mine = hashes(row["pa"])
-                shared = len(mine) + len(held) - len(np.union1d(mine, held))
-                if 100 * shared >= percent * (len(mine) + len(held) - shared):
-                    a.append(row["a"])
-                    b.append(row["b"])
+            for x, y, px, py in zip(*(one.column(k).to_pylist() for k in ("a", "b", "pa", "pb"))):
+                small, large = sorted((hashes(px), hashes(py)), key=len)
+                shared = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+                if 100 * shared >= percent * (len(small) + len(large) - shared):
+                    a.append(x)
+                    b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return both.select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long")
@@ -125,14 +124,18 @@ def _near_size(x: str, y: str, percent: int) -> Column:
 
 
 def _across(rows: DataFrame, group: str, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``rows (group, id, label, size)`` of one group with different labels. One of
-    each pair is outside the largest label of the group, so a group of one label costs nothing."""
+    """Pairs (a, b) of ``rows (group, id, label, size, shared)`` of one group with different labels.
+    One of each pair is outside the largest label of the group, so a group of one label costs
+    nothing. ``shared``: how many shingles any other set can have in common with this one, which
+    bounds the similarity of a pair."""
     kinds = rows.groupBy(group, "label").agg(F.count("*").alias("n"))
     largest = kinds.groupBy(group).agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1").select(group, F.col("top.label").alias("main"))
     named = rows.join(largest, group)
-    odd = named.where("label <> main").select(group, F.col("id").alias("a"), F.col("label").alias("la"), F.col("size").alias("na"))
-    others = named.select(group, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("size").alias("nb"), (F.col("label") == F.col("main")).alias("common"))
-    return odd.join(others, group).where((F.col("la") != F.col("lb")) & (F.col("common") | (F.col("a") < F.col("b"))) & _near_size("na", "nb", percent)).select("a", "b").distinct()
+    odd = named.where("label <> main").select(group, F.col("id").alias("a"), F.col("label").alias("la"), F.col("size").alias("na"), F.col("shared").alias("sa"))
+    others = named.select(group, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("size").alias("nb"), F.col("shared").alias("sb"), (F.col("label") == F.col("main")).alias("common"))
+    most = F.least("sa", "sb")
+    able = most * 100 >= (F.col("na") + F.col("nb") - most) * percent
+    return odd.join(others, group).where((F.col("la") != F.col("lb")) & (F.col("common") | (F.col("a") < F.col("b"))) & able).select("a", "b").distinct()
 
 
 def _rare_shingles(rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -150,9 +153,10 @@ def _rare_shingles(rows: DataFrame, texts: DataFrame, n: int, percent: int) -> D
     found = texts.join(rows.select("id", "label"), "id").select("id", "label", "packed")
     shingles = c.stored(found.mapInArrow(run, "id long, label long, size long, shingle long"), "shingles")
     often = shingles.groupBy("shingle").agg(F.count("*").alias("n"), (F.min("label") != F.max("label")).alias("meets"))
+    alone = F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).over(Window.partitionBy("id"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle"))
     first = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    return shingles.join(often, "shingle").withColumn("rank", rank).where((F.col("rank") <= first) & F.col("meets")).select("shingle", "id", "label", "size")
+    return shingles.join(often, "shingle").withColumn("rank", rank).withColumn("shared", F.col("size") - alone).where((F.col("rank") <= first) & F.col("meets")).select("shingle", "id", "label", "size", "shared")
 
 
 def bucket_links(members: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -165,7 +169,7 @@ def bucket_links(members: DataFrame, texts: DataFrame, n: int, percent: int) ->
     rest = members.where("id <> pivot").select("key", "id", "size").join(labels.select(F.col("v").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     kinds = rest.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("members"), F.max("n").alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
     rest = c.stored(rest.join(kinds.select("key", (F.col("members") - F.col("top") <= PATIENCE).alias("few")), "key"), "rest")
-    pairs = _across(rest.where("few"), "key", percent)
+    pairs = _across(rest.where("few").withColumn("shared", F.col("size")), "key", percent)
     large = rest.where("not few").select("id", "label", "size").distinct()
     if not large.isEmpty():
         pairs = pairs.unionByName(_across(_rare_shingles(large, texts, n, percent), "shingle", percent)).distinct()
