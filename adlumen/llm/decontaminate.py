@@ -90,15 +90,15 @@ class Block:
         self.seeds, self.owner = grams[place][order], owner[order]
 
 
-OUT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_item_words", pa.int64()), ("n_covered", pa.int64())])
-
+def _tiled(texts: pa.Array, block: Block, seed: int) -> Iterator[tuple[int, int, int, int]]:
+    """(row, place of the item in the block, its words, those covered) for rows and items that share
+    a seed."""
 
-def _against(texts: DataFrame, block, seed: int) -> DataFrame:
-    def document(ident: int | None, hashes: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> Iterator[tuple]:
+    def document(row: int, hashes: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         hit_by: dict[int, list[int]] = defaultdict(list)
-        first, last = np.searchsorted(block.value.seeds, seeds, "left"), np.searchsorted(block.value.seeds, seeds, "right")
+        first, last = np.searchsorted(block.seeds, seeds, "left"), np.searchsorted(block.seeds, seeds, "right")
         for place, a, b in zip(places.tolist(), first.tolist(), last.tolist()):
-            for item in dict.fromkeys(block.value.owner[a:b].tolist()):
+            for item in dict.fromkeys(block.owner[a:b].tolist()):
                 hit_by[item].append(place)
         for item, at in sorted(hit_by.items()):
             # All tiles lie in the words under shared seeds; a gap between those is no word at all.
@@ -109,29 +109,46 @@ def _against(texts: DataFrame, block, seed: int) -> DataFrame:
                     text.append(-1 - place)
                 text += hashes[max(place, end) : place + seed].tolist()
                 end = place + seed
-            words = block.value.words[item]
-            covered = sum(k for _, _, k in tiles(words, text, seed))
-            yield ident, block.value.ids[item], len(words), covered
+            words = block.words[item]
+            yield row, item, len(words), sum(k for _, _, k in tiles(words, text, seed))
+
+    offsets, data = c.bytes_column(texts)
+    for first, last in c.chunks(offsets):
+        raw = data[offsets[first] : offsets[last]]
+        starts, ends, ranges = c.words(raw, offsets[first : last + 1] - offsets[first])
+        hashes = c.spans_hash(c.lowered(raw), starts, ends)
+        grams = c.grams_hash(hashes, seed)
+        if not len(grams) or not len(block.seeds):
+            continue
+        near = np.minimum(np.searchsorted(block.seeds, grams), len(block.seeds) - 1)
+        hits = np.flatnonzero(block.seeds[near] == grams)
+        owner = np.searchsorted(ranges, hits, "right") - 1
+        inside = hits + seed <= ranges[owner + 1]
+        hits, owner = hits[inside], owner[inside]
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(owner) != 0])) if len(owner) else owner
+        for places in np.split(hits, edges[1:]) if len(hits) else ():
+            of = int(np.searchsorted(ranges, places[0], "right")) - 1
+            yield from document(first + of, hashes[ranges[of] : ranges[of + 1]], places - ranges[of], grams[places])
+
+
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, seed: int) -> Iterator[Block]:
+    """The benchmark in parts of about ``BLOCK_BYTES``."""
+    items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    blocks = -(-size // BLOCK_BYTES) or 1
+    for number in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == number).collect()
+        yield Block(sorted(map(tuple, rows), key=str), seed)
+
+
+OUT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_item_words", pa.int64()), ("n_covered", pa.int64())])
 
+
+def _against(texts: DataFrame, block, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one in batches:
             ids = one.column("id").to_pylist()
-            offsets, data = c.bytes_column(one.column("text"))
-            rows: list[tuple] = []
-            for first, last in c.chunks(offsets):
-                starts, ends, ranges = c.words(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
-                hashes = c.spans_hash(c.lowered(data[offsets[first] : offsets[last]]), starts, ends)
-                grams = c.grams_hash(hashes, seed)
-                if not len(grams) or not len(block.value.seeds):
-                    continue
-                near = np.minimum(np.searchsorted(block.value.seeds, grams), len(block.value.seeds) - 1)
-                hits = np.flatnonzero(block.value.seeds[near] == grams)
-                owner = np.searchsorted(ranges, hits, "right") - 1
-                inside = hits + seed <= ranges[owner + 1]
-                hits, owner = hits[inside], owner[inside]
-                for of in np.unique(owner).tolist():
-                    places = hits[owner == of]
-                    rows += document(ids[first + of], hashes[ranges[of] : ranges[of + 1]], places - ranges[of], grams[places])
+            rows = [(ids[row], block.value.ids[item], n, k) for row, item, n, k in _tiled(one.column("text"), block.value, seed)]
             yield c.batch(dict(zip(OUT.names, map(list, zip(*rows)))) if rows else {k: [] for k in OUT.names}, OUT)
 
     return texts.mapInArrow(run, "doc_id long, item_id long, n_item_words long, n_covered long")
@@ -149,21 +166,28 @@ def contamination(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     give an empty result; other columns are not read.
     """
     texts = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = -(-size // BLOCK_BYTES) or 1
-    spark = documents.sparkSession
     found = None
-    for number in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == number).collect()  # at most about BLOCK_BYTES
-        part = _against(texts, spark.sparkContext.broadcast(Block(sorted(map(tuple, rows), key=str), seed)), seed)
+    for block in _blocks(benchmark, item_id, item_text, seed):
+        part = _against(texts, documents.sparkSession.sparkContext.broadcast(block), seed)
         found = part if found is None else found.unionByName(part)
     coverage = F.col("n_covered") / F.col("n_item_words")
     return found.withColumn("coverage", coverage).withColumn("contaminated", coverage >= threshold)
 
 
-def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without those that hold at least half of a benchmark item. Rows without an id are
-    kept only if nothing else can be said of them: they cannot be named, so they stay."""
-    bad = contamination(documents, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return documents.join(bad, F.col("doc_id") == F.col("bad_id"), "left_anti")
+def clean(documents: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", seed: int = SEED, threshold: float = COVERAGE) -> DataFrame:
+    """Documents, with all their columns, without those that hold a contaminating share of any item.
+
+    Rows are judged one by one, so a row without an id is judged as any other; nothing is shuffled.
+    """
+
+    def without(rows: DataFrame, block) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for one in batches:
+                bad = {row for row, _, n, k in _tiled(one.column(text), block.value, seed) if k >= threshold * n}
+                yield one.filter(pa.array([row not in bad for row in range(one.num_rows)], pa.bool_()))
+
+        return rows.mapInArrow(run, documents.schema)
+
+    for block in _blocks(benchmark, item_id, item_text, seed):
+        documents = without(documents, documents.sparkSession.sparkContext.broadcast(block))
+    return documents

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import common, decontaminate, fingerprints, html_text, language, near_dedup, packing, substring_dedup, suffix_dedup, token_counts
+from adlumen.llm import common, decontaminate, fingerprints, html_text, language, line_dedup, near_dedup, packing, substring_dedup, suffix_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_lines(table(spark, sf_dir, "documents")).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.fit(pages))
@@ -53,7 +57,11 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op2_language_id, op3_substring_dedup, op4_decontamination, op5_token_counts, op6_fingerprints, op7_best_fit_packing, op9_html_extraction, op10_suffix_array_dedup)
+    f.__name__: f
+    for f in (
+        op1_near_dedup, op2_language_id, op3_substring_dedup, op4_decontamination, op5_token_counts,
+        op6_fingerprints, op7_best_fit_packing, op8_line_dedup, op9_html_extraction, op10_suffix_array_dedup,
+    )
 }
 
 ORACLE: dict[str, str] = {}

@@ -1,8 +1,73 @@
-"""Placeholder until all stages exist."""
+"""A training corpus from documents: five stages, each a text operator over all that came before.
 
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a frame. All
+but the last return the columns of ``documents``. ``run`` applies them and writes what each stage
+kept to the shared scratch folder, so no stage is computed twice.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from adlumen.llm import common, decontaminate, language, line_dedup, near_dedup, packing
+
+# Tokens, fitted vectors and components cannot be expressed in SQL; tests hold the stages against
+# brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def _with_text(docs: DataFrame, text: Column) -> list[Column]:
+    """The columns of docs with a new text and its length."""
+    kinds = dict(docs.dtypes)
+    new = {"text": text, "n_chars": F.char_length(text).cast(kinds.get("n_chars", "long"))}
+    return [new[k].alias(k) if k in new else F.col(f"carried.{k}") for k in docs.columns]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in a language that the labelled ones show; fills in missing languages."""
+    common.ship(spark)
+    found = language.identify(docs, language.fit(docs)).where("not rejected")
+    return found.select(*(F.coalesce("lang", "lang_pred").alias(k) if k == "lang" else k for k in docs.columns))
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes lines that repeat an earlier one; documents of which no line is left go."""
+    common.ship(spark)
+    others = [k for k in docs.columns if k not in ("text", "n_chars")]
+    left = line_dedup.remove_lines(docs, carry=others).where("n_removed < n_lines or n_removed = 0")
+    return left.select(*_with_text(docs, F.col("kept")))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near duplicates."""
+    common.ship(spark)
+    gone = near_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that hold no benchmark item to a contaminating share."""
+    common.ship(spark)
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents and their places in training sequences."""
+    common.ship(spark)
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontaminate", decontaminate_stage),
+    ("packing", packing_stage),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = common.stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
