@@ -37,8 +37,10 @@ def micros(amount: str) -> Column:
 
     Sums of whole numbers do not depend on the order of the rows, so a repeated task or another
     partitioning cannot change the last digit of a result, and they stay in hash aggregation.
+    An amount that is not finite, or beyond nine million millions, counts as NULL: one such row of a
+    stored table must not end the run.
     """
-    return F.rint(F.col(amount) * MICROS).cast("long")
+    return F.rint(F.col(amount) * MICROS).try_cast("long")
 
 
 def amount(total_micros: Column) -> Column:

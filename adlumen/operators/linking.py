@@ -104,11 +104,19 @@ def _reconcile(paid: DataFrame, seen: DataFrame, span: int) -> DataFrame:
 def engagement_by_content(engagements: DataFrame, impressions: DataFrame) -> DataFrame:
     """Viewing behaviour per content, over all its impressions.
 
-    Engagements are reduced to one row per impression before the join, so an impression with very
-    many of them joins as a single row.
+    Engagements arrive at least once: of those that share an id the earliest counts, on a tie the
+    smallest; each one without an id counts. They are reduced to one row per impression before the
+    join, so an impression with very many of them joins as a single row.
     """
+    values = ["impression_id", "watch_duration_seconds", "completion_rate", "clicked"]
+    sent = engagements.where(F.col("impression_id").isNotNull()).select("engagement_id", "timestamp", *values)
+    once = (
+        sent.where(F.col("engagement_id").isNotNull()).groupBy("engagement_id")
+        .agg(F.min(F.struct("timestamp", *values)).alias("first"))
+        .select(*[F.col(f"first.{c}").alias(c) for c in values])
+    )
     per_impression = (
-        engagements.where(F.col("impression_id").isNotNull())
+        once.unionByName(sent.where(F.col("engagement_id").isNull()).select(*values))
         .groupBy("impression_id")
         .agg(
             F.count(F.lit(1)).alias("engagements"),

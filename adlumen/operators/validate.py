@@ -49,9 +49,13 @@ def _validate(messages: DataFrame, value_col: str, fields: list[_Field]) -> Data
 
     A step's columns are read several times by the next one, so Spark keeps the steps apart and
     evaluates every lookup once per message.
+
+    Columns of ``messages`` stay, unless one has the name of a field or of the result, as the time
+    stamp of a topic's frame has: then all but the text move into the struct ``source``.
     """
-    keep, text = messages.columns, F.col(value_col).cast("string")
     names = [f.name for f in fields]
+    messages = _own_columns_apart(messages, value_col, [*names, "errors"])
+    keep, text = messages.columns, F.col(value_col).cast("string")
     first = F.get("_texts", F.lit(0))
     texts = messages.withColumn("_texts", coerce.parse_objects(text, names, "STRING")).select(
         *keep,
@@ -106,6 +110,13 @@ def _validate(messages: DataFrame, value_col: str, fields: list[_Field]) -> Data
     return filled.select(*keep, *stored, errors.alias("errors"))
 
 
+def _own_columns_apart(messages: DataFrame, value_col: str, taken: list[str]) -> DataFrame:
+    own = [c for c in messages.columns if c.lower() != value_col.lower()]
+    if {c.lower() for c in own}.isdisjoint(taken):
+        return messages
+    return messages.select(value_col, F.struct(*[F.col(f"`{c}`") for c in own]).alias("source"))
+
+
 def _one_of(values: list[str]) -> Callable[[Column], Column]:
     return lambda value: value.isin(values)
 

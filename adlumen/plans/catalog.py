@@ -7,6 +7,7 @@ storage and return what a reader then finds there.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +79,25 @@ def bronze_impressions(spark, d):
 
 @query
 def scan_bronze(spark, d):
-    return tables.between_dates(bronze(spark, d))
+    """A range of days of a stored bronze table."""
+    store = Tables(scratch_dir(spark, "scan_bronze"))
+    tables.write_ingest(tables.ingest_rows(_valid_rows(spark, d)), store, "all")
+    return tables.read_bronze(spark, store, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+
+
+@query
+def ingest_topic_frame(spark, d):
+    """Messages in the shape that a topic's reader gives, validated and stored."""
+    sent = fixtures.impression_json(spark, d).select(
+        F.lit(b"k").alias("key"), F.col("value").cast("binary").alias("value"), F.lit("ads").alias("topic"),
+        F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+        F.lit(dt.datetime(2024, 2, 1)).alias("timestamp"), F.lit(0).alias("timestampType"))
+    store = Tables(scratch_dir(spark, "ingest_topic_frame"))
+    tables.write_ingest(tables.ingest_rows(validate.validate_impressions(sent)), store, "topic")
+    return tables.read_ingest(spark, store).select(
+        "outcome", "position", F.array_join("errors", ",").alias("errors"),
+        *[c for c in IMPRESSION_COLUMNS if c != "impression_id"],
+    )
 
 
 @query
@@ -411,6 +430,24 @@ def sink_gold(spark, d):
     return tables.read_gold(spark, store, "revenue_by_advertiser")
 
 
+@query
+def sink_gold_content(spark, d):
+    """The daily content table computed from stored silver, written and read back."""
+    store = _stored_silver(spark, d, "sink_gold_content")
+    legitimate = tables.read_silver(spark, store, "legitimate")
+    tables.write_gold(gold.content_performance(legitimate), store, "content_performance")
+    return tables.read_gold(spark, store, "content_performance")
+
+
+@query
+def sink_gold_fraud(spark, d):
+    """The daily fraud table computed from stored silver, written and read back."""
+    store = _stored_silver(spark, d, "sink_gold_fraud")
+    fraud = tables.read_silver(spark, store, "fraud")
+    tables.write_gold(gold.fraud_summary(fraud), store, "fraud_summary")
+    return tables.read_gold(spark, store, "fraud_summary")
+
+
 # --- streams ------------------------------------------------------------------------------
 
 
@@ -418,9 +455,9 @@ def sink_gold(spark, d):
 def stream_bronze_ingest(spark, d):
     """All messages ingested as a stream in several batches: stored rows of both outcomes."""
     root = scratch_dir(spark, "stream_bronze_ingest")
-    fixtures.impression_json(spark, d).select("value").write.text(f"{root}/messages")
+    fixtures.impression_json(spark, d).select("value").repartition(6, "value").write.text(f"{root}/messages")
     store = Tables(root)
-    stream = topics.file_messages(spark, f"{root}/messages", max_files_per_batch=8)
+    stream = topics.file_messages(spark, f"{root}/messages", max_files_per_batch=2)
     start_ingest(stream, store, f"{root}/checkpoint").awaitTermination()
     return tables.read_ingest(spark, store).select(
         "outcome", F.array_join("errors", ",").alias("errors"),

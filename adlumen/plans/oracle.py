@@ -222,7 +222,7 @@ engagements AS (
 
 _CTES_AND_SELECTS = {
     "bronze_impressions": (SOURCE, "SELECT * FROM bronze"),
-    "scan_bronze": (SOURCE, "SELECT * FROM bronze"),
+    "scan_bronze": (SOURCE, "SELECT * FROM bronze WHERE ingestion_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"),
     "bronze_row_count": (SOURCE, "SELECT count(*) AS row_count FROM bronze"),
     "user_profiles": (PROFILES, "SELECT * FROM profiles"),
     "parse_json_events": (SOURCE, """
@@ -367,6 +367,14 @@ _CTES_AND_SELECTS = {
         UNION ALL BY NAME
         SELECT 'quarantine' AS outcome, * FROM quarantine"""),
     "sink_gold": (REVENUE, "SELECT * FROM revenue"),
+    "sink_gold_content": (CONTENT, "SELECT * FROM content"),
+    "sink_gold_fraud": (FRAUD, "SELECT * FROM fraud_days"),
+    "ingest_topic_frame": (MESSAGES, """
+        SELECT 'valid' AS outcome, 'ads/0/' || event_id AS position, NULL AS errors,
+          * EXCLUDE (event_id, copy, errors, impression_id)
+        FROM checked WHERE errors = ''
+        UNION ALL BY NAME
+        SELECT 'rejected' AS outcome, 'ads/0/' || event_id AS position, errors FROM checked WHERE errors <> ''"""),
     "stream_bronze_ingest": (MESSAGES, """
         SELECT 'valid' AS outcome, NULL AS errors, * EXCLUDE (event_id, copy, errors, impression_id)
         FROM checked WHERE errors = ''

@@ -21,9 +21,9 @@ class DuplicateProfiles(ValueError):
     """The profile table holds several rows for one user."""
 
 
-def run_ingest(messages: DataFrame, tables: Tables, batch_id: str | int) -> dict:
+def run_ingest(messages: DataFrame, tables: Tables, batch_id: str | int, source: str = "batch") -> dict:
     """Validate and store one batch of messages (a frame with a ``value`` column)."""
-    return write_ingest(ingest_rows(validate_impressions(messages)), tables, batch_id).get
+    return write_ingest(ingest_rows(validate_impressions(messages)), tables, batch_id, source).get
 
 
 def run_silver(spark: SparkSession, tables: Tables, profiles: DataFrame) -> dict:

@@ -5,7 +5,10 @@ Everything here is a fixed value of the data contract; no logic lives in this mo
 
 from __future__ import annotations
 
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType,
+    TimestampType,
+)
 
 # --- fixed values -------------------------------------------------------------------------
 
@@ -33,48 +36,79 @@ IMPRESSION_TOPIC = "ad.impressions.raw"
 
 # --- schemas ------------------------------------------------------------------------------
 
-def _struct(*groups: tuple[str, str]) -> StructType:
-    """Columns given as (type, names) groups, in order; all are nullable, as stored files are."""
-    schema = StructType()
-    for type_name, names in groups:
-        for name in names.split():
-            schema = schema.add(name, type_name)
-    return schema
-
+# All columns are nullable, as stored files are.
 
 _IMPRESSION = [
-    ("string", "impression_id user_id advertiser_id campaign_id content_id"),
-    ("double", "bid_price"),
-    ("string", "currency country_code device_type ad_format"),
-    ("timestamp", "timestamp"),
-    ("boolean", "is_fraud"),
+    StructField("impression_id", StringType()),
+    StructField("user_id", StringType()),
+    StructField("advertiser_id", StringType()),
+    StructField("campaign_id", StringType()),
+    StructField("content_id", StringType()),
+    StructField("bid_price", DoubleType()),
+    StructField("currency", StringType()),
+    StructField("country_code", StringType()),
+    StructField("device_type", StringType()),
+    StructField("ad_format", StringType()),
+    StructField("timestamp", TimestampType()),
+    StructField("is_fraud", BooleanType()),
+]
+_PROFILE = [
+    StructField("account_tier", StringType()),
+    StructField("registration_country", StringType()),
+    StructField("preferred_currency", StringType()),
+    StructField("is_verified", BooleanType()),
 ]
-_PROFILE = [("string", "account_tier registration_country preferred_currency"), ("boolean", "is_verified")]
 
-IMPRESSION_SCHEMA = _struct(*_IMPRESSION)
-BRONZE_SCHEMA = _struct(*_IMPRESSION, ("date", "ingestion_date"))
-PROFILE_SCHEMA = _struct(("string", "user_id"), *_PROFILE, ("timestamp", "created_at"))
-PAYMENT_SCHEMA = _struct(
-    ("string", "payment_id advertiser_id campaign_id"), ("double", "amount"),
-    ("string", "currency impression_batch_id payment_status"), ("timestamp", "timestamp"),
-)
-ENGAGEMENT_SCHEMA = _struct(
-    ("string", "engagement_id user_id content_id impression_id"),
-    ("integer", "watch_duration_seconds"), ("double", "completion_rate"), ("boolean", "clicked"),
-    ("timestamp", "timestamp"),
-)
-# All outcomes of a layer are stored in one location, partitioned by outcome.
-INGEST_SCHEMA = (
-    _struct(*_IMPRESSION, ("string", "value")).add("errors", ArrayType(StringType()))
-    .add("outcome", "string").add("ingestion_date", "date").add("batch_id", "string")
-)
-SILVER_SCHEMA = _struct(
-    *_IMPRESSION, *_PROFILE, ("string", "quality_issues outcome"), ("date", "ingestion_date")
-)
+IMPRESSION_SCHEMA = StructType(list(_IMPRESSION))
+BRONZE_SCHEMA = StructType([*_IMPRESSION, StructField("ingestion_date", DateType())])
+PROFILE_SCHEMA = StructType([
+    StructField("user_id", StringType()),
+    *_PROFILE,
+    StructField("created_at", TimestampType()),
+])
+PAYMENT_SCHEMA = StructType([
+    StructField("payment_id", StringType()),
+    StructField("advertiser_id", StringType()),
+    StructField("campaign_id", StringType()),
+    StructField("amount", DoubleType()),
+    StructField("currency", StringType()),
+    StructField("impression_batch_id", StringType()),
+    StructField("payment_status", StringType()),
+    StructField("timestamp", TimestampType()),
+])
+ENGAGEMENT_SCHEMA = StructType([
+    StructField("engagement_id", StringType()),
+    StructField("user_id", StringType()),
+    StructField("content_id", StringType()),
+    StructField("impression_id", StringType()),
+    StructField("watch_duration_seconds", IntegerType()),
+    StructField("completion_rate", DoubleType()),
+    StructField("clicked", BooleanType()),
+    StructField("timestamp", TimestampType()),
+])
+# All outcomes of a layer are stored in one location, partitioned by outcome. ``position`` is where
+# a message stood in its topic.
+INGEST_SCHEMA = StructType([
+    *_IMPRESSION,
+    StructField("value", StringType()),
+    StructField("errors", ArrayType(StringType())),
+    StructField("position", StringType()),
+    StructField("outcome", StringType()),
+    StructField("ingestion_date", DateType()),
+    StructField("source", StringType()),
+    StructField("batch_id", StringType()),
+])
+SILVER_SCHEMA = StructType([
+    *_IMPRESSION,
+    *_PROFILE,
+    StructField("quality_issues", StringType()),
+    StructField("outcome", StringType()),
+    StructField("ingestion_date", DateType()),
+])
 
 IMPRESSION_COLUMNS = IMPRESSION_SCHEMA.fieldNames()
 BRONZE_COLUMNS = BRONZE_SCHEMA.fieldNames()
-PROFILE_COLUMNS = _struct(*_PROFILE).fieldNames()
+PROFILE_COLUMNS = [f.name for f in _PROFILE]
 
 # user_id leads because the profile join is a USING join on it.
 SILVER_COLUMNS = (

@@ -69,8 +69,16 @@ def ingest_rows(validated: DataFrame) -> DataFrame:
     """Validated messages as stored: valid ones as bronze rows, rejected ones as raw text.
 
     A rejected message keeps its text and the broken rules. Its day is the day of ingestion,
-    because its own timestamp cannot be trusted.
+    because its own timestamp cannot be trusted. Where the frame came from a topic, ``position``
+    tells topic, partition and offset of either kind.
     """
+    of = {"topic", "partition", "offset"}
+    source = validated.schema["source"].dataType if "source" in validated.columns else None
+    if isinstance(source, StructType) and of <= set(source.names):
+        position = F.concat_ws("/", "source.topic", F.col("source.partition").cast("string"),
+                               F.col("source.offset").cast("string"))
+    else:
+        position = F.lit(None).cast("string")
     is_valid = F.size("errors") == 0
 
     def if_valid(column: str | Column, name: str) -> Column:
@@ -80,21 +88,25 @@ def ingest_rows(validated: DataFrame) -> DataFrame:
         *[if_valid(c, c) for c in IMPRESSION_COLUMNS],
         F.when(~is_valid, F.col("value").cast("string")).alias("value"),
         F.when(~is_valid, F.col("errors")).alias("errors"),
+        position.alias("position"),
         F.when(is_valid, F.lit("valid")).otherwise(F.lit("rejected")).alias("outcome"),
         F.when(is_valid, F.col("ingestion_date")).otherwise(F.current_date()).alias("ingestion_date"),
     )
 
 
-def write_ingest(rows: DataFrame, tables: Tables, batch_id: str | int) -> Observation:
+def write_ingest(rows: DataFrame, tables: Tables, batch_id: str | int,
+                 source: str = "batch") -> Observation:
     """Add one batch to the ingest table, in one pass over it.
 
-    A batch owns its own partition, so writing it again under the same id replaces all of it
-    instead of duplicating it. The returned observation holds the batch's counts; it sits in the
+    A batch of a source owns its own partition, so writing it again under the same id replaces all
+    of it instead of duplicating it, and batches of other sources are never touched. A stream's
+    source is the id of its query. The returned observation holds the batch's counts; it sits in the
     writing stage, where a repeated task is not counted twice.
     """
     batch = str(batch_id)
-    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
-        raise ValueError(f"batch id {batch!r} may only have letters, digits and _.-")
+    for name in (batch, source):
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
+            raise ValueError(f"batch id or source {name!r} may only have letters, digits and _.-")
     counts = Observation()
     observed = rows.hint("rebalance", F.col("outcome"), F.col("ingestion_date")).observe(
         counts,
@@ -104,12 +116,12 @@ def write_ingest(rows: DataFrame, tables: Tables, batch_id: str | int) -> Observ
     )
     if tables.fmt == "parquet":
         writer = observed.write.partitionBy("outcome", "ingestion_date")
-        target = f"{tables.ingest}/batch_id={batch}"
+        target = f"{tables.ingest}/source={source}/batch_id={batch}"
     else:
         writer = (
-            observed.withColumn("batch_id", F.lit(batch))
-            .write.partitionBy("batch_id", "outcome", "ingestion_date")
-            .option("replaceWhere", f"batch_id = '{batch}'")
+            observed.withColumns({"source": F.lit(source), "batch_id": F.lit(batch)})
+            .write.partitionBy("source", "batch_id", "outcome", "ingestion_date")
+            .option("replaceWhere", f"source = '{source}' AND batch_id = '{batch}'")
         )
         target = tables.ingest
     writer.format(tables.fmt).mode("overwrite").save(target)

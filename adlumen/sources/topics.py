@@ -31,8 +31,8 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str = IMPRESSION_TO
 
 
 def file_messages(spark: SparkSession, path: str, max_files_per_batch: int | None = None) -> DataFrame:
-    """Files of JSON lines as a stream with the same ``value`` column."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", "*.txt")
+    """Files of JSON lines, whatever their suffix, as a stream with the same ``value`` column."""
+    reader = spark.readStream.format("text")
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return reader.load(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,7 +17,8 @@ def start_ingest(messages: DataFrame, tables: Tables, checkpoint: str,
 
     The checkpoint records a batch's source positions before it runs and its completion after it
     is written: a failed write is repeated with the same messages and the same batch id, and
-    ``write_ingest`` replaces that batch. Default timestamps come from the batch's recorded time,
+    ``write_ingest`` replaces that batch. Batches belong to the query's own id, which its checkpoint
+    keeps, so a stream with another or a new checkpoint never replaces them. Default timestamps come from the batch's recorded time,
     so a repeated batch also lands on the same day.
 
     Without ``processing_time`` the query takes what is there, in bounded batches, and ends.
@@ -24,7 +27,9 @@ def start_ingest(messages: DataFrame, tables: Tables, checkpoint: str,
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_ingest(batch, tables, batch_id)
+        # Written before the first batch starts.
+        query = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()
+        write_ingest(batch, tables, batch_id, json.loads(query.value)["id"])
 
     return (
         rows.writeStream.foreachBatch(store)

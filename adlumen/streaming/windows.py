@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from adlumen.functions.columns import amount, cpm, micros
 from adlumen.operators.silver import clean_rows, flag_quality, legitimate_rows
@@ -12,12 +13,23 @@ from adlumen.operators.silver import clean_rows, flag_quality, legitimate_rows
 def dedup_stream(impressions: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Drop repeated deliveries that arrive within ``delay`` of the first, in event time.
 
-    State is kept per id for that long only. Copies further apart pass here; deduplication of the
-    stored table has no such limit. Which copy stays is the one that arrives first.
+    State is kept per id for that long only. Copies further apart pass here, unless the later one is
+    also late. A row is late if its time is more than ``delay`` before the latest time of an earlier
+    batch; late rows are dropped, unique ones too, and counted (``rows_dropped_late``). The ingest
+    table holds them all, and deduplication of that table has neither limit. Which copy stays is the
+    one that arrives first.
     """
     return impressions.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["impression_id"])
 
 
+def rows_dropped_late(query: StreamingQuery) -> int:
+    """How many rows the query's stateful operators have dropped as late, in the progress it keeps."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress for operator in progress.stateOperators
+    )
+
+
 def hourly_revenue_stream(impressions: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Hourly revenue per advertiser as a stream; an hour is emitted once, when it is complete.
 

@@ -95,3 +95,9 @@ def test_fraud_summary(spark):
 def test_null_day_has_no_top_advertiser(spark):
     row = gold.fraud_summary(silver(spark, {"timestamp": None})).first()
     assert (row.ingestion_date, row.fraud_impression_count, row.top_targeted_advertiser) == (None, 1, None)
+
+
+def test_prices_beyond_all_bounds_do_not_end_the_run(spark):
+    rows = silver(spark, {"bid_price": 1.0}, {"bid_price": float("-inf")}, {"bid_price": -1e300})
+    row = gold.revenue_by_advertiser(rows).first()
+    assert (row.total_spend, row.impression_count) == (1.0, 3)

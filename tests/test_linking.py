@@ -66,3 +66,13 @@ def test_engagement_by_content(spark):
         ENGAGEMENT_SCHEMA)
     assert collect(engagement_by_content(engaged, seen)) == [
         ("cnt_001", 2, 2, 90, 0.375, 0.5), ("cnt_002", 1, 0, 0, None, 0.0)]
+
+
+def test_repeated_engagement_counts_once(spark):
+    seen = bronze(spark, {"impression_id": "a"})
+    engaged = spark.createDataFrame(
+        [("e1", "u", "c", "a", 60, 0.5, True, T0), ("e1", "u", "c", "a", 60, 0.5, True, T0),
+         ("e1", "u", "c", "a", 70, 0.5, True, T0 + H), (None, "u", "c", "a", 1, None, False, T0),
+         (None, "u", "c", "a", 1, None, False, T0)],
+        ENGAGEMENT_SCHEMA)
+    assert collect(engagement_by_content(engaged, seen)) == [("cnt_001", 1, 3, 62, 0.5, 1.0)]

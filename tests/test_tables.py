@@ -12,7 +12,7 @@ from adlumen.schemas import BRONZE_COLUMNS, QUARANTINE_COLUMNS, SILVER_COLUMNS
 from adlumen.sources import tables, topics
 from adlumen.sources.tables import Tables
 from adlumen.streaming.ingest import start_ingest
-from adlumen.streaming.windows import dedup_stream, hourly_revenue_stream
+from adlumen.streaming.windows import dedup_stream, hourly_revenue_stream, rows_dropped_late
 from rows import MESSAGE, T0, bronze, collect, messages, profiles
 
 NEXT_DAY = "2024-03-02T01:00:00Z"
@@ -152,6 +152,30 @@ def test_stream_resumes_without_loss_or_repetition(spark, tmp_path, store):
         ("0", "a", "valid"), ("0", None, "rejected"), ("1", "b", "valid"), ("2", "c", "valid")]
 
 
+def test_sources_do_not_replace_each_other(spark, tmp_path, store):
+    put(tmp_path / "in", "1.txt", {"impression_id": "a"})
+    put(tmp_path / "in", "2.json", {"impression_id": "b"})
+    put(tmp_path / "in", "3.jsonl", {"impression_id": "c"})
+    ingest(spark, tmp_path, store)
+    put(tmp_path / "other", "1.txt", {"impression_id": "d"})
+    for checkpoint in ("second", "third"):  # another stream, and the same one from its beginning
+        start_ingest(topics.file_messages(spark, str(tmp_path / "other")), store, str(tmp_path / checkpoint)).awaitTermination()
+    runs.run_ingest(messages(spark, {"impression_id": "e"}), store, 0)
+    runs.run_ingest(messages(spark, {"impression_id": "f"}), store, 0, source="elsewhere")
+    assert collect(tables.read_bronze(spark, store), "impression_id") == [(x,) for x in "abcddef"]
+
+
+def test_frames_of_a_topic_keep_their_position(spark, store):
+    value = json.dumps({**MESSAGE, "impression_id": "a"}).encode()
+    frame = spark.createDataFrame(
+        [(b"k", value, "ads", 3, 17, T0, 0), (None, b"no json", "ads", 3, 18, T0, 0)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
+    runs.run_ingest(frame, store, "one")
+    assert collect(tables.read_ingest(spark, store), "position", "impression_id", "outcome") == [
+        ("ads/3/17", "a", "valid"), ("ads/3/18", None, "rejected")]
+    assert runs.validate_impressions(frame).columns[:2] == ["value", "source"]
+
+
 def test_batch_that_was_written_but_not_recorded_is_replaced(spark, tmp_path, store):
     put(tmp_path / "in", "1.txt", {"impression_id": "a"}, {"impression_id": "b"}, {"impression_id": "x", "bid_price": 0})
     ingest(spark, tmp_path, store)
@@ -195,6 +219,18 @@ def test_repeated_deliveries_across_batches_are_dropped(spark, tmp_path):
     assert collect(drain(dedup_stream(stream), tmp_path, "out"), "impression_id") == [("a",), ("b",), ("c",)]
 
 
+def test_late_rows_are_counted(spark, tmp_path):
+    def at(hours, name):
+        return {"timestamp": T0 + dt.timedelta(hours=hours), "impression_id": name}
+
+    stream = dedup_stream(impressions_stream(spark, tmp_path, [at(0, "a"), at(6, "b")], [at(5.5, "c")], [at(1, "late")], [at(6, "b"), at(7, "d")]))
+    query = (stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert collect(spark.read.schema(stream.schema).parquet(str(tmp_path / "out")), "impression_id") == [(x,) for x in "abcd"]
+    assert rows_dropped_late(query) == 1
+
+
 def test_streamed_hours_equal_the_table(spark, tmp_path):
     from adlumen.operators import gold
     from adlumen.operators.silver import enrich
