@@ -411,7 +411,10 @@ def _stored_silver(spark, d, name: str) -> Tables:
 @query
 def sink_silver(spark, d):
     """The three silver tables after one write."""
-    store = _stored_silver(spark, d, "sink_silver")
+    return _silver_parts(spark, _stored_silver(spark, d, "sink_silver"))
+
+
+def _silver_parts(spark, store: Tables) -> DataFrame:
     parts = [
         tables.read_silver(spark, store, outcome).withColumn("outcome", F.lit(outcome))
         for outcome in ("legitimate", "fraud", "quarantine")
@@ -421,6 +424,16 @@ def sink_silver(spark, d):
     )
 
 
+@query
+def sink_silver_range(spark, d):
+    """The three silver tables after a full write and a second one of a range of days."""
+    store = _stored_silver(spark, d, "sink_silver_range")
+    days = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
+    again = silver.silver_outcomes(tables.between_dates(bronze(spark, d), *days), profiles(spark, d))
+    tables.write_silver(again, store, *days)
+    return _silver_parts(spark, store)
+
+
 @query
 def sink_gold(spark, d):
     """The hourly revenue table computed from stored silver, written and read back."""

@@ -386,6 +386,8 @@ _CTES_AND_SELECTS = {
         WHERE hour + INTERVAL 1 HOUR <= (SELECT max("timestamp") - INTERVAL 1 HOUR FROM bronze)"""),
 }
 
+_CTES_AND_SELECTS["sink_silver_range"] = _CTES_AND_SELECTS["sink_silver"]
+
 ORACLE: dict[str, str] = {
     name: f"WITH {ctes}\n{select}" for name, (ctes, select) in _CTES_AND_SELECTS.items()
 }

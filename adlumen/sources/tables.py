@@ -20,8 +20,8 @@ from pyspark.sql.types import StructType
 
 from adlumen.operators.validate import ingest_stats, with_ingestion_date
 from adlumen.schemas import (
-    BRONZE_COLUMNS, IMPRESSION_COLUMNS, INGEST_SCHEMA, QUARANTINE_COLUMNS, SILVER_COLUMNS,
-    SILVER_SCHEMA,
+    BRONZE_COLUMNS, CONTENT_COLUMNS, FRAUD_COLUMNS, IMPRESSION_COLUMNS, INGEST_SCHEMA,
+    QUARANTINE_COLUMNS, REVENUE_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA,
 )
 
 @dataclass(frozen=True)
@@ -62,6 +62,46 @@ def between_dates(table: DataFrame, date_from: dt.date | None = None,
     return table
 
 
+def _range_files(spark: SparkSession, path: str, date_from: dt.date | None,
+                 date_to: dt.date | None) -> dict[str, frozenset[str]]:
+    """File names of each stored day of a range, by folder; a listing of folders, not of rows."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    root = jvm.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for depth in ("", "*/"):
+        for day in files.globStatus(jvm.Path(root, f"{depth}ingestion_date=*")) or ():
+            date = day.getPath().getName().partition("=")[2]
+            if (date_from is None or date >= str(date_from)) and (date_to is None or date <= str(date_to)):
+                found[str(day.getPath())] = frozenset(f.getPath().getName() for f in files.listStatus(day.getPath()))
+    return found
+
+
+def _write_days(rows: DataFrame, path: str, fmt: str, by: list[str], date_from: dt.date | None,
+                date_to: dt.date | None) -> None:
+    """Replace the days of a range, or all days, of a table partitioned by ``by``.
+
+    Days outside the range are not touched. Parquet replaces each partition that has new rows and
+    then removes the old ones of the range that have none.
+    """
+    writer = rows.write.format(fmt).mode("overwrite").partitionBy(*by)
+    if date_from is None and date_to is None:
+        writer.save(path)
+    elif fmt != "parquet":
+        low = [f"ingestion_date >= '{date_from}'"] if date_from else []
+        high = [f"ingestion_date <= '{date_to}'"] if date_to else []
+        writer.option("replaceWhere", " AND ".join(low + high)).save(path)
+    else:
+        spark = rows.sparkSession
+        before = _range_files(spark, path, date_from, date_to)
+        writer.option("partitionOverwriteMode", "dynamic").save(path)
+        after = _range_files(spark, path, date_from, date_to)
+        for folder, names in before.items():
+            if after.get(folder) == names:
+                stale = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                stale.getFileSystem(spark._jsc.hadoopConfiguration()).delete(stale, True)
+
+
 # --- ingest: bronze and rejects -----------------------------------------------------------
 
 
@@ -152,8 +192,9 @@ def stored_ingest_stats(spark: SparkSession, tables: Tables) -> DataFrame:
 # --- silver -------------------------------------------------------------------------------
 
 
-def write_silver(outcomes: DataFrame, tables: Tables) -> Observation:
-    """Replace all silver tables in one job.
+def write_silver(outcomes: DataFrame, tables: Tables, date_from: dt.date | None = None,
+                 date_to: dt.date | None = None) -> Observation:
+    """Replace all silver tables, or a range of their days, in one job.
 
     Legitimate, fraud and quarantine rows are partitions of one location, so the shared work
     (deduplication, flags, join) runs once without caching it, and a run without quarantined rows
@@ -161,7 +202,7 @@ def write_silver(outcomes: DataFrame, tables: Tables) -> Observation:
     """
     counts = Observation()
     of = F.col("outcome")
-    (
+    rows = (
         outcomes.hint("rebalance", of, F.col("ingestion_date"))
         .observe(
             counts,
@@ -170,10 +211,8 @@ def write_silver(outcomes: DataFrame, tables: Tables) -> Observation:
             F.count_if(of == "quarantine").alias("quarantined"),
             F.count_if((of != "quarantine") & F.col("account_tier").isNull()).alias("missing_profiles"),
         )
-        .write.format(tables.fmt).mode("overwrite")
-        .partitionBy("outcome", "ingestion_date")
-        .save(tables.silver)
     )
+    _write_days(rows, tables.silver, tables.fmt, ["outcome", "ingestion_date"], date_from, date_to)
     return counts
 
 
@@ -188,15 +227,23 @@ def read_silver(spark: SparkSession, tables: Tables, outcome: str,
 # --- gold ---------------------------------------------------------------------------------
 
 
-def write_gold(table: DataFrame, tables: Tables, name: str) -> Observation:
-    """Replace one gold table; the number of files follows its size."""
+GOLD_COLUMNS = {
+    "revenue_by_advertiser": REVENUE_COLUMNS,
+    "content_performance": CONTENT_COLUMNS,
+    "fraud_summary": FRAUD_COLUMNS,
+}
+
+
+def write_gold(table: DataFrame, tables: Tables, name: str, date_from: dt.date | None = None,
+               date_to: dt.date | None = None) -> Observation:
+    """Replace one gold table, or a range of its days; the number of files follows its size."""
     counts = Observation()
-    (
-        table.hint("rebalance").observe(counts, F.count(F.lit(1)).alias("rows"))
-        .write.format(tables.fmt).mode("overwrite").save(tables.gold(name))
-    )
+    rows = table.hint("rebalance", F.col("ingestion_date")).observe(counts, F.count(F.lit(1)).alias("rows"))
+    _write_days(rows, tables.gold(name), tables.fmt, ["ingestion_date"], date_from, date_to)
     return counts
 
 
-def read_gold(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
-    return read_table(spark, tables.gold(name), tables.fmt)
+def read_gold(spark: SparkSession, tables: Tables, name: str, date_from: dt.date | None = None,
+              date_to: dt.date | None = None) -> DataFrame:
+    table = read_table(spark, tables.gold(name), tables.fmt).select(*GOLD_COLUMNS[name])
+    return between_dates(table, date_from, date_to)

@@ -79,6 +79,25 @@ def test_chain_from_messages_to_gate(spark, store):
     assert tables.read_gold(spark, store, "fraud_summary").first().top_targeted_advertiser == "adv_001"
 
 
+def test_runs_over_a_range_leave_other_days_alone(spark, store):
+    people = profiles(spark, ("user_000001", "premium", True))
+    runs.run_ingest(messages(spark, *BATCH, {"impression_id": "q", "country_code": "XX", "timestamp": NEXT_DAY}), store, "one")
+    runs.run_silver(spark, store, people)
+    runs.run_gold(spark, store)
+    day = dt.date(2024, 3, 2)
+    runs.run_ingest(messages(spark, {"impression_id": "x"}, {"impression_id": "y", "timestamp": NEXT_DAY}), store, "one")
+    assert runs.run_silver(spark, store, people, day, day) == {
+        "rows_before": 1, "legitimate": 1, "fraud": 0, "quarantined": 0, "missing_profiles": 0}
+    assert collect(tables.read_silver(spark, store, "legitimate"), "impression_id") == [("a",), ("y",)]
+    assert collect(tables.read_silver(spark, store, "fraud"), "impression_id") == [("c",)]
+    assert tables.read_silver(spark, store, "quarantine").count() == 0
+    assert runs.run_gold(spark, store, day, day) == {"revenue_by_advertiser": 1, "content_performance": 1, "fraud_summary": 0}
+    assert tables.read_gold(spark, store, "fraud_summary").count() == 1
+    assert tables.read_gold(spark, store, "revenue_by_advertiser").count() == 2
+    plan = tables.read_silver(spark, store, "legitimate", day, day)._jdf.queryExecution().executedPlan().toString()
+    assert "ingestion_date" in plan[plan.index("PartitionFilters"):].split("]")[0]
+
+
 def test_silver_rerun_clears_old_quarantine(spark, store):
     people = profiles(spark)
     runs.run_ingest(messages(spark, {"country_code": "XX"}, {"impression_id": "b"}), store, "one")
