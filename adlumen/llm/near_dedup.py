@@ -11,15 +11,16 @@ Large buckets are not paired out. Documents with equal sets are one class from t
 bucket first compares its members with one pivot, the member that shares most buckets with others,
 as the original of many edited copies does; what that links is joined to components. Only members of
 different components in one bucket are left to compare. Where few are outside the bucket's largest
-component, they are compared with all others. In the other buckets, prefix filtering finds the rest:
-sets that are similar enough share one of the rarest shingles of each, so documents of different
-components meet only there. Both steps are exact, so no link that would change a component is lost
-after the bands.
+component, they are compared with all others. In the other buckets, prefix filtering finds the
+components that a document outside can still belong to: a similar set holds one of its rarest
+shingles. The members of such a component are compared with it in blocks, inside a task, so pairs
+are never rows. Both steps are exact, so no link that would change a component is lost after the
+bands.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
 
@@ -34,6 +35,8 @@ PERMUTATIONS = 80
 ROWS = 5
 # So many members outside a bucket's largest component are compared with all others at once.
 PATIENCE = 8
+# Members of a component that are compared with a document in one row.
+BLOCK = 64
 
 _random = np.random.default_rng(7919)
 _FACTOR = _random.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,22 +99,35 @@ def signatures(texts: DataFrame, n: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
 
 
+def _remembered(n: int) -> Callable[[bytes], np.ndarray]:
+    """The shingle hashes of a packed text; members of one bucket come again and again."""
+
+    @lru_cache(2000)
+    def hashes(packed: bytes) -> np.ndarray:
+        data = np.frombuffer(c.decompress(packed), np.uint8)
+        return shingle_hashes(data, np.array([0, len(data)]), n)[0]
+
+    return hashes
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < percent * len(large):
+        return False
+    shared = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return 100 * shared >= percent * (len(small) + len(large) - shared)
+
+
 def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of ``pairs (a, b)`` whose full shingle sets are similar; ``texts (id, packed)``."""
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("pa")), "a").join(texts.select(F.col("id").alias("b"), F.col("packed").alias("pb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(2000)  # members of one bucket come again and again
-        def hashes(packed: bytes) -> np.ndarray:
-            data = np.frombuffer(c.decompress(packed), np.uint8)
-            return shingle_hashes(data, np.array([0, len(data)]), n)[0]
-
+        hashes = _remembered(n)
         for one in batches:
             a, b = [], []
             for x, y, px, py in zip(*(one.column(k).to_pylist() for k in ("a", "b", "pa", "pb"))):
-                small, large = sorted((hashes(px), hashes(py)), key=len)
-                shared = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-                if 100 * shared >= percent * (len(small) + len(large) - shared):
+                if _similar(hashes(px), hashes(py), percent):
                     a.append(x)
                     b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -124,39 +140,81 @@ def _near_size(x: str, y: str, percent: int) -> Column:
 
 
 def _across(rows: DataFrame, group: str, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``rows (group, id, label, size, shared)`` of one group with different labels.
-    One of each pair is outside the largest label of the group, so a group of one label costs
-    nothing. ``shared``: how many shingles any other set can have in common with this one, which
-    bounds the similarity of a pair."""
-    kinds = rows.groupBy(group, "label").agg(F.count("*").alias("n"))
-    largest = kinds.groupBy(group).agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1").select(group, F.col("top.label").alias("main"))
-    named = rows.join(largest, group)
-    odd = named.where("label <> main").select(group, F.col("id").alias("a"), F.col("label").alias("la"), F.col("size").alias("na"), F.col("shared").alias("sa"))
-    others = named.select(group, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("size").alias("nb"), F.col("shared").alias("sb"), (F.col("label") == F.col("main")).alias("common"))
-    most = F.least("sa", "sb")
-    able = most * 100 >= (F.col("na") + F.col("nb") - most) * percent
-    return odd.join(others, group).where((F.col("la") != F.col("lb")) & (F.col("common") | (F.col("a") < F.col("b"))) & able).select("a", "b").distinct()
-
-
-def _rare_shingles(rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """``rows (id, label, size)`` with those of their shingles that a similar set must share one of:
-    the rarest ``size - ceil(size * percent / 100) + 1`` in an order that is the same for all."""
+    """Pairs (a, b) of ``rows (group, id, label, size, main)`` of one group with different labels. One
+    of each pair is outside the largest label of the group, ``main``."""
+    odd = rows.where("label <> main").select(group, F.col("id").alias("a"), F.col("label").alias("la"), F.col("size").alias("na"))
+    others = rows.select(group, F.col("id").alias("b"), F.col("label").alias("lb"), F.col("size").alias("nb"), (F.col("label") == F.col("main")).alias("common"))
+    return odd.join(others, group).where((F.col("la") != F.col("lb")) & (F.col("common") | (F.col("a") < F.col("b"))) & _near_size("na", "nb", percent)).select("a", "b").distinct()
+
+
+def _open_components(rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs (id, other) of a document of ``rows (id, label, size, lead)`` that leads and the label
+    of another component that holds one of the shingles which a similar set must share with it: the
+    rarest ``size - ceil(size * percent / 100) + 1`` in an order that is the same for all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one in batches:
-            for k, packed in enumerate(one.column("packed").to_pylist()):
+            ids, labels, sizes, found, times = [], [], [], [], []
+            seen: dict[int, list[np.ndarray]] = {}
+            for ident, label, lead, packed in zip(*(one.column(k).to_pylist() for k in ("id", "label", "lead", "packed"))):
                 data = np.frombuffer(c.decompress(packed), np.uint8)
                 hashes = shingle_hashes(data, np.array([0, len(data)]), n)[0].view(np.int64)
-                same = [pa.array(np.full(len(hashes), one.column(x)[k].as_py(), np.int64)) for x in ("id", "label")]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(np.full(len(hashes), len(hashes))), pa.array(hashes)], ["id", "label", "size", "shingle"])
-
-    found = texts.join(rows.select("id", "label"), "id").select("id", "label", "packed")
-    shingles = c.stored(found.mapInArrow(run, "id long, label long, size long, shingle long"), "shingles")
-    often = shingles.groupBy("shingle").agg(F.count("*").alias("n"), (F.min("label") != F.max("label")).alias("meets"))
-    alone = F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).over(Window.partitionBy("id"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle"))
+                if lead:
+                    ids += [ident] * len(hashes)
+                    labels += [label] * len(hashes)
+                    sizes += [len(hashes)] * len(hashes)
+                    found.append(hashes)
+                    times.append(np.ones(len(hashes), np.int64))
+                else:  # of the others only their component matters
+                    seen.setdefault(label, []).append(hashes)
+            for label, sets in seen.items():
+                values, counts = np.unique(np.concatenate(sets), return_counts=True)
+                ids += [None] * len(values)
+                labels += [label] * len(values)
+                sizes += [None] * len(values)
+                found.append(values)
+                times.append(counts)
+            if found:
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (ids, labels, sizes)), pa.array(np.concatenate(found)), pa.array(np.concatenate(times))], ["id", "label", "size", "shingle", "times"])
+
+    held = texts.join(rows.select("id", "label", "lead"), "id").select("id", "label", "lead", "packed")
+    shingles = c.stored(held.mapInArrow(run, "id long, label long, size long, shingle long, times long"), "shingles")
+    often = shingles.groupBy("shingle").agg(F.sum("times").alias("n"), (F.min("label") != F.max("label")).alias("meets"))
+    of = Window.partitionBy("id")
     first = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    return shingles.join(often, "shingle").withColumn("rank", rank).withColumn("shared", F.col("size") - alone).where((F.col("rank") <= first) & F.col("meets")).select("shingle", "id", "label", "size", "shared")
+    ranked = shingles.where("id is not null").join(often, "shingle").withColumn("rank", F.row_number().over(of.orderBy("n", "shingle"))).withColumn("shared", F.col("size") - F.count_if(F.col("n") == 1).over(of))
+    rare = c.stored(ranked.where(F.col("rank") <= first).select("shingle", "id", "label", "size", "shared", "meets"), "rare")
+    # What a component can have in common with another document at most, and its least size: no set
+    # shares a shingle that only it has.
+    bounds = rows.join(rare.select("id", "shared").distinct(), "id", "left").groupBy("label").agg(F.max(F.coalesce("shared", "size")).alias("most"), F.min("size").alias("least"))
+    others = shingles.select("shingle", "label").distinct().join(bounds, "label").withColumnRenamed("label", "other")
+    common = F.least("shared", "most")
+    able = common * 100 >= (F.col("size") + F.col("least") - common) * percent
+    return rare.where("meets").join(others, "shingle").where((F.col("label") != F.col("other")) & able).select("id", "other").distinct()
+
+
+def _linked_members(wanted: DataFrame, rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) between each ``id`` of ``wanted (id, other)`` and members of the component."""
+    blocks = rows.groupBy("label").agg(F.greatest(F.lit(1), F.floor(F.count("*") / BLOCK)).cast("int").alias("blocks"))
+    members = rows.join(blocks, "label").join(texts, "id").select(F.col("label").alias("other"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "packed")
+    members = members.groupBy("other", "block").agg(F.collect_list(F.struct("id", "packed")).alias("members"))
+    asked = wanted.join(blocks.withColumnRenamed("label", "other"), "other").join(texts, "id")
+    asked = asked.select(F.col("id").alias("a"), "packed", "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    # Little data but much work: as many tasks as the session allows, whatever the bytes.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = asked.repartition(parts, "other", "block").join(members, ["other", "block"]).select("a", "packed", "members")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _remembered(n)
+        for one in batches:
+            a, b = [], []
+            for x, packed, members in zip(*(one.column(k).to_pylist() for k in ("a", "packed", "members"))):
+                found = [m["id"] for m in members if _similar(hashes(packed), hashes(m["packed"]), percent)]
+                a += [x] * len(found)
+                b += found
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
 
 
 def bucket_links(members: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -167,13 +225,13 @@ def bucket_links(members: DataFrame, texts: DataFrame, n: int, percent: int) ->
     links = c.stored(linked(tried, texts, n, percent), "links")
     labels = components(links)
     rest = members.where("id <> pivot").select("key", "id", "size").join(labels.select(F.col("v").alias("id"), "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    kinds = rest.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("members"), F.max("n").alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
-    rest = c.stored(rest.join(kinds.select("key", (F.col("members") - F.col("top") <= PATIENCE).alias("few")), "key"), "rest")
-    pairs = _across(rest.where("few").withColumn("shared", F.col("size")), "key", percent)
-    large = rest.where("not few").select("id", "label", "size").distinct()
+    kinds = rest.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
+    rest = c.stored(rest.join(kinds.select("key", F.col("top.label").alias("main"), (F.col("members") - F.col("top.n") <= PATIENCE).alias("few")), "key"), "rest")
+    more = linked(_across(rest.where("few"), "key", percent), texts, n, percent)
+    large = c.stored(rest.where("not few").groupBy("id", "label").agg(F.max("size").alias("size"), F.max(F.col("label") != F.col("main")).alias("lead")), "large")
     if not large.isEmpty():
-        pairs = pairs.unionByName(_across(_rare_shingles(large, texts, n, percent), "shingle", percent)).distinct()
-    more = c.stored(linked(pairs, texts, n, percent), "links")
+        more = more.unionByName(_linked_members(_open_components(large, texts, n, percent), large.select("id", "label"), texts, n, percent))
+    more = c.stored(more, "links")
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
