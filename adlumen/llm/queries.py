@@ -64,4 +64,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+# Where SQL can express a query and is quick enough on whole tables.
+ORACLE: dict[str, str] = {
+    "op1_near_dedup": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+          FROM documents),
+        s AS (
+          SELECT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_distinct([array_to_string(list_slice(ws, k, k + 3), ' ') FOR k IN range(1, len(ws) - 2)])
+            WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle
+          FROM w),
+        sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (shingle) WHERE x.doc_id < y.doc_id GROUP BY 1, 2),
+        links AS (
+          SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+        ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a)
+        SELECT a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id, a = min(b) AS kept
+        FROM reach LEFT JOIN sizes ON sizes.doc_id = a GROUP BY a""",
+    "op3_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        windows AS (
+          SELECT doc_id, k, array_to_string(list_slice(ws, k, k + 12), ' ') AS words
+          FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS k FROM w)),
+        starts AS (SELECT words, min(doc_id) AS first FROM windows GROUP BY 1),
+        gone AS (
+          SELECT DISTINCT doc_id, k + j AS p
+          FROM (SELECT doc_id, k, unnest(range(0, 13)) AS j FROM windows JOIN starts USING (words) WHERE doc_id > first)),
+        each_word AS (SELECT doc_id, p, ws[p] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM w)),
+        left_over AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM each_word ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN left_over USING (doc_id)""",
+}

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import compare
 import corpus_pipeline
 from adlumen.llm import common
 from adlumen.llm.queries import ORACLE, QUERIES
@@ -25,6 +26,11 @@ def test_all_operators_have_a_query():
     assert ORACLE.keys() <= QUERIES.keys()
 
 
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_query_equals_sql(spark, name):
+    assert compare.compare(QUERIES[name](spark, TABLES), compare.oracle_connection(TABLES), ORACLE[name]) is None
+
+
 def test_stages_keep_the_columns_and_only_drop_rows(stages):
     documents = stages[0]
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
