@@ -76,3 +76,10 @@ def null_rates(impressions: DataFrame) -> DataFrame:
             (F.col("null_rate") <= MAX_NULL_RATE).alias("within_limit"),
         )
     )
+
+
+def assert_null_rates(rates: DataFrame) -> None:
+    """Raises ``GateFailed`` naming the columns with too many NULLs; one row a column at most."""
+    broken = [r.column_name for r in rates.where("NOT within_limit").collect()]
+    if broken:
+        raise GateFailed(f"more than {MAX_NULL_RATE:.0%} NULL in {', '.join(sorted(broken))}")

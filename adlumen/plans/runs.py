@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adlumen.operators import gold
-from adlumen.operators.gate import assert_gate, quality_gate
+from adlumen.operators.gate import assert_gate, assert_null_rates, null_rates, quality_gate
 from adlumen.operators.silver import duplicate_profiles, silver_outcomes
 from adlumen.operators.validate import validate_impressions
 from adlumen.sources.tables import (
@@ -64,11 +64,14 @@ def run_gold(spark: SparkSession, tables: Tables, date_from: dt.date | None = No
 
 def run_gate(spark: SparkSession, tables: Tables) -> dict:
     """Check the stored tables; raises ``GateFailed`` when a rule is broken."""
-    return assert_gate(quality_gate(
-        read_bronze(spark, tables),
+    bronze = read_bronze(spark, tables)
+    result = assert_gate(quality_gate(
+        bronze,
         read_silver(spark, tables, "legitimate"),
         read_gold(spark, tables, "revenue_by_advertiser"),
     ))
+    assert_null_rates(null_rates(bronze))
+    return result
 
 
 def run_chain(spark: SparkSession, tables: Tables, profiles: DataFrame,

@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from adlumen.operators.gate import GateFailed, assert_gate, null_rates, quality_gate
+from adlumen.operators.gate import GateFailed, assert_gate, assert_null_rates, null_rates, quality_gate
 from adlumen.plans import runs
 from adlumen.schemas import BRONZE_COLUMNS, QUARANTINE_COLUMNS, SILVER_COLUMNS
 from adlumen.sources import tables, topics
@@ -130,6 +130,9 @@ def test_null_rates(spark):
     rates = {r.column_name: (r.null_count, r.null_rate, r.within_limit) for r in
              null_rates(bronze(spark, {"user_id": None}, *[{}] * 9)).collect()}
     assert rates["user_id"] == (1, 0.1, False) and rates["bid_price"] == (0, 0.0, True)
+    assert_null_rates(null_rates(bronze(spark, {})))
+    with pytest.raises(GateFailed, match="user_id"):
+        assert_null_rates(null_rates(bronze(spark, {"user_id": None}, {})))
 
 
 def test_topic_messages_have_the_advertiser_as_key_and_read_back_unchanged(spark):
