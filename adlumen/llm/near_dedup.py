@@ -187,10 +187,28 @@ def _open_components(rows: DataFrame, texts: DataFrame, n: int, percent: int) ->
     # What a component can have in common with another document at most, and its least size: no set
     # shares a shingle that only it has.
     bounds = rows.join(rare.select("id", "shared").distinct(), "id", "left").groupBy("label").agg(F.max(F.coalesce("shared", "size")).alias("most"), F.min("size").alias("least"))
-    others = shingles.select("shingle", "label").distinct().join(bounds, "label").withColumnRenamed("label", "other")
-    common = F.least("shared", "most")
-    able = common * 100 >= (F.col("size") + F.col("least") - common) * percent
-    return rare.where("meets").join(others, "shingle").where((F.col("label") != F.col("other")) & able).select("id", "other").distinct()
+    asked = rare.where("meets")
+    holders = shingles.join(asked.select("shingle").distinct(), "shingle", "left_semi").select("shingle", "label").distinct().join(bounds, "label")
+    # Labels that hold a shingle, about BLOCK in a row.
+    spread = holders.groupBy("shingle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    holders = holders.join(spread, "shingle").groupBy("shingle", F.pmod(F.xxhash64("label"), F.col("blocks")).alias("block")).agg(F.collect_list(F.struct("label", "most", "least")).alias("holders"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = asked.join(holders, "shingle").select("id", "label", "size", "shared", "holders").repartition(parts, "id")
+
+    def able(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[tuple[int, int]] = set()  # as many as the task returns
+        for one in batches:
+            new = []
+            for row in one.to_pylist():
+                for other in row["holders"]:
+                    common = min(row["shared"], other["most"])
+                    pair = row["id"], other["label"]
+                    if other["label"] != row["label"] and pair not in told and common * 100 >= (row["size"] + other["least"] - common) * percent:
+                        told.add(pair)
+                        new.append(pair)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in new], pa.int64()) for k in (0, 1)], ["id", "other"])
+
+    return met.mapInArrow(able, "id long, other long")
 
 
 def _linked_members(wanted: DataFrame, rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
