@@ -300,6 +300,19 @@ def test_edits_agree_with_encoding_again(rows, start, length, new):
         assert "".join(tree.leaves) == edited and tree.tokens[1] == len(model.plain(edited)) // 4
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "one text.<|endoftext|>Next text", "<|endoftext|>start", "end<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>  b", "\n<|endoftext|>\n", "x<|endoftext|><|endoftext|> y", "<|endoftext|", "it<|endoftext|>'s", "é<|endoftext|>" * 40 + " " + "word " * 200 + "<|endoftext|>"])
+def test_added_tokens_are_one_id(text):
+    model, tokenizer = encoder(), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert model.encode(text) == model.plain(text) == want
+    tree = token_counts.TokenTree(text, model)
+    assert tree.tokens[1] == len(want) // 4
+    # Edits that cut a token, close one and put one in.
+    for start, length, new in [(3, 2, ""), (3, 0, text[3:5]), (len(text) // 2, 0, "<|endoftext|>"), (0, 0, "<|endof"), (7, 0, "text|>")]:
+        tree.edit(start, length, new)
+        assert tree.tokens[1] == len(tokenizer.encode("".join(tree.leaves), add_special_tokens=False).ids)
+
+
 def test_language(spark, docs, rows):
     full = spark.read.parquet(f"{TABLES}/documents.parquet")
     model = language.fit(full.where("doc_id % 2 = 0"))
