@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -52,22 +53,33 @@ def tiles(item: list[int], text: list[int], shortest: int = SEED) -> list[tuple[
         runs: dict[int, list[int]] = defaultdict(list)
         for place, value in _rolling(text, free_text, n):
             runs[value].append(place)
-        matches, longest = [], n
+        matches = []
         for a, value in _rolling(item, free_item, n):
             for b in runs.get(value, ()):
                 if item[a : a + n] != text[b : b + n]:
                     continue
+                if a and b and item[a - 1] == text[b - 1] and free_item[a - 1] and free_text[b - 1]:
+                    continue  # a part of the run that starts before it
                 k = n
                 while a + k < len(item) and b + k < len(text) and item[a + k] == text[b + k] and free_item[a + k] and free_text[b + k]:
                     k += 1
-                longest = max(longest, k)
                 matches.append((-k, a, b))
-        for k, a, b in sorted(matches):
-            if all(free_item[a : a - k]) and all(free_text[b : b - k]):
+        heapify(matches)
+        while matches:
+            k, a, b = heappop(matches)
+            free = [x and y for x, y in zip(free_item[a : a - k], free_text[b : b - k])]
+            if all(free):
                 found.append((a, b, -k))
                 free_item[a : a - k] = [False] * -k
                 free_text[b : b - k] = [False] * -k
-        # Runs that a longer tile cut short are found again at a smaller length.
+                continue
+            # What a longer tile has left of a run takes its place among the others by its length.
+            first = 0
+            for end in [i for i, x in enumerate(free) if not x] + [-k]:
+                if end - first >= n:
+                    heappush(matches, (first - end, a + first, b + first))
+                first = end + 1
+        # Rests that are shorter than this length are found again at a smaller one.
         n = n // 2 if n // 2 > shortest else (shortest if n > shortest else 0)
     return found
 

@@ -351,6 +351,38 @@ def test_tiles_do_not_overlap():
     assert sorted(found, key=lambda t: -t[2])[0] == (0, 6, 7) and sum(k for _, _, k in found) == 10
 
 
+def plain_tiling(item, text, shortest):
+    """The longest run of free equal words again and again, found by comparing all places."""
+    free_item, free_text, found = [True] * len(item), [True] * len(text), []
+    while True:
+        best = (0, 0, 0)
+        for a in range(len(item)):
+            for b in range(len(text)):
+                k = 0
+                while a + k < len(item) and b + k < len(text) and item[a + k] == text[b + k] and free_item[a + k] and free_text[b + k]:
+                    k += 1
+                best = min(best, (-k, a, b))
+        k, a, b = -best[0], *best[1:]
+        if k < shortest:
+            return found
+        found.append((a, b, k))
+        free_item[a : a + k] = [False] * k
+        free_text[b : b + k] = [False] * k
+
+
+def test_tiling_goes_on_with_what_a_longer_tile_left():
+    item, text = list(range(20)), [*range(8), 100, *range(6, 15), 101, *range(8, 13)]
+    assert sum(k for _, _, k in decontaminate.tiles(item, text, 5)) == 15
+    random = np.random.default_rng(5)
+    for _ in range(150):
+        item = random.integers(0, 30, 24).tolist() if random.random() < 0.3 else list(range(24))
+        text = []
+        while len(text) < 40:
+            a, n = random.integers(0, 20), random.integers(2, 14)
+            text += item[a : a + n] + [-1] * int(random.integers(0, 2))
+        assert decontaminate.tiles(item, text, 3) == plain_tiling(item, text, 3)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>no</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="x">Home</a></li></ul></nav>
 <div class="ad">Buy this now please</div><article><h1>Title &amp; more</h1><p>Words with <b>bold</b>text  in
 a block that is long enough.<p>Second block.</article><div class="comments"><p>I like it</p></div><footer>&copy; somebody</footer>"""
