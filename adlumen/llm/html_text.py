@@ -6,9 +6,10 @@ enclosing elements are content, so words score positive. One linear scan finds t
 with the largest sum. Words of the region whose own probability is low (a notice inside an article)
 are left out.
 
-The probabilities are learned from labelled pages: pages with exactly one ``article`` or ``main``
-element label what stands inside it as content. At most about ``SAMPLE`` such pages are used, chosen
-by a hash of their id. Elements that the sample does not show get a probability by their meaning.
+The probabilities are learned from all labelled pages: pages with exactly one ``article`` or
+``main`` element label what stands inside it as content. Elements that too few of them show get a
+probability by their meaning. Names alone never decide over an element that holds the page's article
+or, on a page without one, most of its words.
 """
 
 from __future__ import annotations
@@ -24,8 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from adlumen.llm import common as c
 
-SAMPLE = 2000
-# Features rarer than this on the sample are judged by their meaning; at most FEATURES are kept.
+# Features on fewer labelled pages are judged by their meaning; at most FEATURES are kept.
 SEEN = 20
 FEATURES = 5000
 # Words with a lower probability are no content even inside the region.
@@ -39,7 +39,12 @@ CLOSES_P = frozenset("address article aside blockquote details div dl fieldset f
 # Elements and words of class, id and role that name parts around the content.
 AROUND = frozenset("nav header footer aside form dialog menu head".split())
 AROUND_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ad|ads|advert\w*|banner|breadcrumbs?|byline-share|comments?|consent|cookies?|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[-_\s\d])",
+    r"(?:ad|ads|advert\w*|banner|breadcrumbs?|byline-share|comments?|consent|cookies?|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)\d*",
+    re.IGNORECASE,
+)
+# Words that only tell which part it is: "site-footer" and "sidebar-left" are parts, "has-sidebar" is none.
+BESIDE = re.compile(
+    r"(?:area|bar|block|bottom|box|container|form|global|inner|left|links?|lists?|main|page|posts?|primary|right|secondary|section|site|text|top|wrap|wrapper|\d*)",
     re.IGNORECASE,
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
@@ -72,6 +77,18 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
         yield "open", name, " ".join(a or b or d for _, a, b, d in _NAMES.findall(attributes)) if attributes else ""
 
 
+def names_around(names: str) -> bool:
+    """Whether one of the names as a whole names a part around the content."""
+    for one in names.split():
+        if AROUND_NAMES.fullmatch(one):
+            return True
+        parts = re.split("[-_]+", one)
+        around = [bool(AROUND_NAMES.fullmatch(part)) for part in parts]
+        if any(around) and all(x or BESIDE.fullmatch(part) for x, part in zip(around, parts)):
+            return True
+    return False
+
+
 def feature(name: str, names: str) -> str:
     return f"{name}.{' '.join(sorted(names.lower().split()))}" if names else name
 
@@ -146,7 +163,7 @@ class Weights:
         known = self.memory.get(key)
         if known is None:
             known = self.learned.get(f"{kind} {feature(name, names)}")
-            around = name in AROUND or bool(names and AROUND_NAMES.search(names))
+            around = name in AROUND or names_around(names)
             if known is None:
                 known = 0.05 if around else self.learned.get(f"{kind} {name}", 0.9 if kind == "w" else 0.6) if name != "div" else 0.7
             if around:
@@ -160,12 +177,53 @@ class Weights:
         return known
 
 
+def holders(found: list[tuple[str, str, str]]) -> set[int]:
+    """Places of the tags that open an element around the page's article: the only ``article`` or
+    ``main``, or the one with at least half of the words of its kind. Without such an element, those
+    that hold more than half of the page's words. Elements that are no content by their tag, and
+    what is in them, count as no article."""
+    stack = Stack()
+    places: list[int] = []  # of the open elements
+    words_of: dict[int, int] = {}  # the words before an open element, then those in it
+    above: dict[int, list[int]] = {}
+    total = 0
+
+    def close(depth: int) -> None:
+        for place in places[depth:]:
+            words_of[place] = total - words_of[place]
+        del places[depth:]
+
+    for k, (kind, name, rest) in enumerate(found):
+        if kind == "text":
+            total += len(rest.split())
+        elif kind == "open":
+            stack.enter(name, rest)
+            close(len(stack.open) - (name not in VOID))
+            if name not in VOID:
+                if name in ("article", "main") and not any(found[p][1] in AROUND for p in places):
+                    above[k] = [*places, k]
+                places.append(k)
+                words_of[k] = total
+        else:
+            stack.leave(name)
+            close(len(stack.open))
+    close(0)
+    out: set[int] = set()
+    for label in ("article", "main"):
+        of = [k for k in above if found[k][1] == label and words_of[k]]
+        if of and 2 * words_of[best := max(of, key=lambda k: (words_of[k], -k))] >= sum(words_of[k] for k in of):
+            out.update(above[best])
+    return out or {k for k, n in words_of.items() if 2 * n > total and found[k][1] not in AROUND}
+
+
 def main_text(html: str | None, weights: Weights) -> str:
     """The text of the page's best region, its blocks joined by one space."""
     stack = Stack()
     chance = [1.0]  # of words under the open elements: the least likely of them decides
     pieces: list[tuple[str | None, float, float]] = []  # text or None for a block's end, chance, score
-    for kind, name, rest in tokens(html or ""):
+    found = list(tokens(html or ""))
+    around = holders(found)
+    for place, (kind, name, rest) in enumerate(found):
         if kind == "text":
             n = len(rest.split())
             pieces.append((rest, chance[-1], n * chance[-1]))
@@ -174,7 +232,8 @@ def main_text(html: str | None, weights: Weights) -> str:
             stack.enter(name, rest)
             del chance[len(stack.open) + (name in VOID) :]
             if name not in VOID:
-                chance.append(min(chance[-1], weights.of("w", name, rest)))
+                own = weights.of("w", name, rest)
+                chance.append(min(chance[-1], max(own, 0.5) if place in around else own))
         else:
             stack.leave(name)
             del chance[len(stack.open) + 1 :]
@@ -201,11 +260,9 @@ def main_text(html: str | None, weights: Weights) -> str:
 COUNTED = pa.schema([("feature", pa.string()), ("inside", pa.bool_()), ("n", pa.int64()), ("pages", pa.int64())])
 
 
-def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE) -> Weights:
-    """Weights from labelled pages; without any, all features are judged by their meaning."""
-    rows = pages.where(F.col(html).isNotNull())
-    total = rows.count()
-    drawn = rows.where(F.pmod(F.xxhash64(page_id), F.lit(max(1, total // sample))) == 0).select(F.col(html).alias("html"))
+def fit(pages: DataFrame, html: str = "html") -> Weights:
+    """Weights from all labelled pages; without any, all features are judged by their meaning."""
+    rows = pages.where(F.col(html).isNotNull()).select(F.col(html).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one in batches:
@@ -218,7 +275,7 @@ def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample:
             keys = list(counts)
             yield c.batch({"feature": [k[0] for k in keys], "inside": [k[1] for k in keys], "n": [counts[k] for k in keys], "pages": [seen[k] for k in keys]}, COUNTED)
 
-    counted = drawn.mapInArrow(run, "feature string, inside boolean, n long, pages long").groupBy("feature").agg(
+    counted = rows.mapInArrow(run, "feature string, inside boolean, n long, pages long").groupBy("feature").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("i"), F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("o"), F.sum("pages").alias("pages"))
     kept = counted.where(F.col("pages") >= SEEN).orderBy(F.desc("pages"), "feature").limit(FEATURES).collect()
     return Weights({r["feature"]: (r["i"], r["o"]) for r in kept})

@@ -402,6 +402,38 @@ def test_html(spark):
         assert r.text.startswith(" ".join(start.split()))
 
 
+WRAPPERS = ["has-sidebar", "no-sidebar", "layout-with-sidebar", "sticky-header", "comments-open", "search-results", "content-widget", "sidebar", "widget header"]
+
+
+@pytest.mark.parametrize("weights", [html_text.Weights({}), html_text.Weights({"w body": (90, 10), "t p": (90, 10), "w article": (99, 0)})])
+@pytest.mark.parametrize("names", WRAPPERS)
+def test_names_of_wrappers_do_not_drop_the_article(names, weights):
+    text = "Title & more Words with boldtext in a block that is long enough. Second block."
+    wrapped = PAGE.replace("<body>", f'<body class="{names}">')
+    assert html_text.main_text(wrapped, weights) == text
+    assert html_text.main_text(PAGE.replace("<article>", f'<div class="{names}"><article>').replace("</article>", "</article></div>"), weights) == text
+    # Without an article, most words decide.
+    assert html_text.main_text(wrapped.replace("article", "div"), weights) == text
+
+
+def test_names_of_parts_around_are_still_known():
+    parts = ["site-footer", "sidebar-left", "ad-banner", "main_nav", "comments", "sidebar2", "related-posts"]
+    assert all(html_text.names_around(f"x {part}") for part in parts) and not any(map(html_text.names_around, WRAPPERS[:7]))
+    for part in parts:
+        page = PAGE.replace('class="ad"', f'class="{part}"').replace('class="comments"', f'class="{part}"')
+        assert html_text.main_text(page, html_text.Weights({})).endswith("enough. Second block.") and "Buy" not in html_text.main_text(page, html_text.Weights({}))
+
+
+def test_a_template_on_few_pages_is_learned(spark):
+    """No sample: 25 pages of one template among 3,000 others decide about its own elements."""
+    common.ship(spark)
+    page = "<body><article><p>some words of the text</p></article></body>"
+    rare = '<body><article><p>some words of the text</p><div class="odd">these are no words of it</div></article><div class="tail">one two three four</div></body>'
+    pages = spark.createDataFrame([(k, "u", rare if k % 120 == 0 else page) for k in range(3025)], "page_id long, url string, html string")
+    learned = html_text.fit(pages).learned
+    assert learned["w div.tail"] < 0.01 and learned["w div.odd"] > 0.99
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, id string")
     items = spark.createDataFrame([], "item_id long, text string")
