@@ -8,8 +8,9 @@ rejected if it has no letters or is too far from every centroid: if its best cos
 ``SHARE`` of what 99 % of the training vectors reach. Even a single word of a known language is
 nearer than that, another script is not.
 
-The model is fitted on at most ``PER_LANGUAGE`` labelled texts of each language, chosen by a hash of
-their text; its size is languages * CLUSTERS * BUCKETS numbers. Prediction is one scan.
+The model is fitted on at most ``PER_LANGUAGE`` distinct labelled texts of each language, those with
+the smallest hashes, so copies neither fill nor empty the sample; its size is languages * CLUSTERS *
+BUCKETS numbers. Prediction is one scan.
 """
 
 from __future__ import annotations
@@ -96,32 +97,56 @@ def _clusters(vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return centroids, np.argmax(vectors @ centroids.T, axis=1)
 
 
+def smallest_hashes(hashes: DataFrame, k: int) -> DataFrame:
+    """The ``k`` smallest distinct values of h for each language of ``hashes (lang, h)``, as rows
+    (lang, h). Tasks keep ``k`` values of each language, and so do both steps that merge them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[str, np.ndarray] = {}
+        for one in batches:
+            coded = one.column("lang").dictionary_encode()
+            codes, values = coded.indices.to_numpy(zero_copy_only=False), one.column("h").to_numpy()
+            for code, lang in enumerate(coded.dictionary.to_pylist()):
+                found = values[codes == code]
+                least[lang] = np.unique(np.concatenate([least[lang], found]) if lang in least else found)[:k]
+        yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.string()), pa.array([x.tolist() for x in least.values()], pa.list_(pa.int64()))], ["lang", "hs"])
+
+    merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hs")))), 1, k).alias("hs")
+    parts = hashes.mapInArrow(run, "lang string, hs array<long>").withColumn("part", F.spark_partition_id() % 32)
+    return parts.groupBy("lang", "part").agg(merged).groupBy("lang").agg(merged).select("lang", F.explode("hs").alias("h"))
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """A model from labelled rows; those without a text, letters or a language are no examples.
 
-    At most ``per_language`` rows of each language are used, those with the smallest hashes of their
-    text, so the order of rows does not matter. Without any example the model knows no language.
+    At most ``per_language`` distinct texts of each language are used, those with the smallest
+    hashes, so neither the order of rows nor the number of their copies matters. Without any example
+    the model knows no language.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.col(lang) != UNKNOWN)).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0, np.int64), np.zeros(BUCKETS), 0.0)
-    # Twice the bound is drawn by hash and cut to it below.
-    share = F.element_at(F.create_map(*(F.lit(x) for lang_, n in sizes.items() for x in (lang_, min(1.0, 2 * per_language / n)))), F.col("lang"))
-    drawn = rows.withColumn("h", F.xxhash64("text")).where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+    rows = rows.where(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    # At most ``per_language`` rows of each language.
+    drawn = rows.join(F.broadcast(smallest_hashes(rows.select("lang", "h"), per_language)), ["lang", "h"], "left_semi")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[tuple[str, int]] = set()
         for one in batches:
+            keys = list(zip(one.column("lang").to_pylist(), one.column("h").to_pylist()))
+            fresh = [i for i, key in enumerate(keys) if not (key in known or known.add(key))]
+            one = one.take(pa.array(fresh, pa.int64()))
             found = [features(t) for t in one.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([one.column("lang"), one.column("h"), pa.array([a.astype(np.int32) for a, _ in found], pa.list_(pa.int32())), pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))], ["lang", "h", "at", "n"])
 
     chosen: dict[str, list] = {}
-    # At most about 2 * per_language rows for each language.
-    for row in sorted(drawn.select("lang", "h", "text").mapInArrow(vectors, "lang string, h long, at array<int>, n array<int>").collect(), key=lambda r: (r[0], r[1])):
-        same = chosen.setdefault(row["lang"], [])
-        if row["at"] and len(same) < per_language:
-            same.append(row)
-    languages = sorted(k for k, v in chosen.items() if v)
+    found = drawn.select("lang", "h", "text").mapInArrow(vectors, "lang string, h long, at array<int>, n array<int>")
+    # Tasks send a text once, and copies of several tasks meet here.
+    once = found.groupBy("lang", "h").agg(F.min(F.struct("at", "n")).alias("v")).select("lang", "h", "v.*")
+    for row in sorted(once.collect(), key=lambda r: (r[0], r[1])):
+        if row["at"]:
+            chosen.setdefault(row["lang"], []).append(row)
+    if not chosen:
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0, np.int64), np.zeros(BUCKETS), 0.0)
+    languages = sorted(chosen)
     seen = np.zeros(BUCKETS)
     total = sum(len(chosen[k]) for k in languages)
     for k in languages:

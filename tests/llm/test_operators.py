@@ -330,6 +330,27 @@ def test_language(spark, docs, rows):
     assert clashing.count() == len(rows) and clashing.columns.count("lang_pred") == 1
 
 
+def test_copies_neither_fill_nor_empty_the_language_sample(spark):
+    """Languages of few distinct texts in thousands of copies are known, whatever their hashes, and
+    copies take one place only."""
+    common.ship(spark)
+    spell = lambda k, j: " ".join(chr(97 + (k * 7 + j + x * x) % 26) * 2 + chr(97 + (k * 5 + x) % 26) for x in range(30))
+    texts = [(spell(k, j), f"lang{k}", 3000 // n) for k in range(12) for n in (1 + k % 3,) for j in range(n)]
+    mixed = [(f"{spell(20, j)} {spell(20, j % 7)} number {'abcdefghij'[j % 10]}{'abcdefghij'[j // 10 % 10]}{'abcdefghij'[j // 100]}", "mixed", 1) for j in range(500)] + [(spell(20, 3), "mixed", 4000)]
+    frame = spark.createDataFrame(texts + mixed, "text string, lang string, copies int").select("text", "lang", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).repartition(3)
+    model = language.fit(frame)
+    assert model.languages == sorted({*(f"lang{k}" for k in range(12)), "mixed"})
+    assert all(model.predict(text)[0] == lang for text, lang, _ in texts)
+    hashed = frame.select("lang", F.xxhash64("text").alias("h"))
+    want = defaultdict(set)
+    for r in hashed.distinct().collect():
+        want[r.lang].add(r.h)
+    got = defaultdict(list)
+    for r in language.smallest_hashes(hashed, 20).collect():
+        got[r.lang].append(r.h)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:20] for k, v in want.items()}
+
+
 def test_decontamination(spark):
     item = [f"b{k}" for k in range(30)]
     other = [f"c{k}" for k in range(30)]
