@@ -1,16 +1,21 @@
 """Operator 2: language identification by nearest centroids of TF-IDF n-gram vectors.
 
 Letters of a text in lower case, with every other run of characters as one space, give n-grams of
-one to three characters, hashed to ``BUCKETS`` features. A text's vector is (1 + ln count) * idf,
+one to three characters, told apart by their code points. A text's vector is (1 + ln count) * idf,
 normalised. Every language has ``CLUSTERS`` centroids from spherical k-means over its training
-vectors; a text gets the language of the centroid with the largest cosine, its score. A text is
-rejected if it has no letters or is too far from every centroid: if its best cosine is under
-``SHARE`` of what 99 % of the training vectors reach. Even a single word of a known language is
-nearer than that, another script is not.
+vectors; a text gets the language of the centroid with the largest cosine, its score.
+
+A text is rejected if it has no letters or is too far from every centroid. How near texts of a
+language are depends on their length, up to some hundred letters, so the training texts are also cut
+to their first 4, 8, 16, ... letters. The cosines of one language and length class, each with the
+centroids as they are without its own text, give the class its limit, half of their ``LOW`` quantile:
+texts of one word said again and again stay over it, random letters of that length do not reach it.
+N-grams that the model does not hold count in a text's norm and never meet by a hash, so a long text
+in no known language stays as far as a short one.
 
 The model is fitted on at most ``PER_LANGUAGE`` distinct labelled texts of each language, those with
 the smallest hashes, so copies neither fill nor empty the sample; its size is languages * CLUSTERS *
-BUCKETS numbers. Prediction is one scan.
+``GRAMS`` numbers at most, as the languages' n-grams in most texts are held, in turn. Prediction is one scan.
 """
 
 from __future__ import annotations
@@ -25,10 +30,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from adlumen.llm import common as c
 
-BUCKETS = 1 << 13
+GRAMS = 1 << 16
 CLUSTERS = 3
 PER_LANGUAGE = 400
-SHARE = 0.2
+LOW = 0.01
+# With fewer cosines of a language in a length class, those of all languages give the limit.
+ENOUGH = 50
+# Length classes by powers of two; the last one holds all texts of 256 letters and more.
+CLASSES = 10
 UNKNOWN = "und"
 
 _letters: list[np.ndarray] = []
@@ -46,41 +55,88 @@ def _folded() -> np.ndarray:
     return _letters[0]
 
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram features of a text and their counts; none without letters."""
+def letters(text: str | None) -> np.ndarray:
+    """The code points of a text's letters in lower case, each other run and both ends as one space;
+    empty without letters."""
     codes = _folded()[np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)]
     solid = codes != 32
     if not solid.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64)
     keep = solid.copy()
     keep[1:] |= solid[:-1]
     line = np.concatenate([[np.uint32(32)], codes[keep]])
-    one = line * np.uint32(0x9E3779B1)
-    two = (one[:-1] ^ (line[1:] * np.uint32(0x85EBCA77))) * np.uint32(0xC2B2AE3D)
-    three = (two[:-1] ^ (line[2:] * np.uint32(0x27D4EB2F))) * np.uint32(0x165667B1)
-    shift = np.uint32(32 - (BUCKETS.bit_length() - 1))
-    counts = np.bincount((np.concatenate([one[line != 32], two, three]) >> shift).astype(np.int64), minlength=BUCKETS)
-    at = np.flatnonzero(counts)
-    return at, counts[at]
+    return line.astype(np.int64)
+
+
+def features(line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a line of letters, as whole numbers in order, and their counts."""
+    two = line[:-1] | line[1:] << 21
+    three = two[:-1] | line[2:] << 42
+    grams = np.sort(np.concatenate([line[line != 32], two, three]))
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
+    return grams[first], np.diff(np.concatenate([first, [len(grams)]]))
+
+
+def length_class(line: np.ndarray) -> int:
+    return min(len(line).bit_length(), CLASSES - 1)
+
+
+def beginnings(line: np.ndarray) -> Iterator[np.ndarray]:
+    """The line and its beginnings of all smaller length classes, at a word's end where there is one."""
+    yield line
+    size = 1 << (length_class(line) - 1)
+    while size > 2:
+        part = line[:size]
+        ends = np.flatnonzero(part == 32)
+        end = int(ends[-1]) + 1 if len(ends) > 1 and ends[-1] >= size // 2 else size
+        yield line[:end]
+        size //= 2
 
 
 @dataclass
 class Model:
     languages: list[str]
+    grams: np.ndarray  # in order
     centroids: np.ndarray  # a column for each centroid
     of: np.ndarray  # the language of each centroid
     idf: np.ndarray
-    reach: float  # the smallest cosine that is not rejected
+    other: float  # the idf of all other n-grams
+    limits: np.ndarray  # the smallest cosine that is not rejected, for each language and length class
+
+    def vector(self, grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and weights of the n-grams that the model holds, normalised with all others."""
+        near = np.minimum(np.searchsorted(self.grams, grams), max(0, len(self.grams) - 1))
+        held = self.grams[near] == grams
+        weights = (1 + np.log(counts)) * np.where(held, self.idf[near], self.other)
+        return near[held], weights[held] / np.sqrt(weights @ weights)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score and whether the text is rejected."""
-        at, counts = features(text)
-        if not len(at) or not self.languages:
+        line = letters(text)
+        if not len(line) or not self.languages:
             return UNKNOWN, 0.0, True
-        weights = (1 + np.log(counts)) * self.idf[at]
-        cosines = weights @ self.centroids[at] / np.sqrt(weights @ weights)
+        at, weights = self.vector(*features(line))
+        cosines = weights @ self.centroids[at]
         best = int(np.argmax(cosines))
-        return self.languages[self.of[best]], float(min(1.0, max(0.0, cosines[best]))), bool(cosines[best] < self.reach)
+        score = float(min(1.0, max(0.0, cosines[best])))
+        return self.languages[self.of[best]], score, score <= 0 or score < self.limits[self.of[best], length_class(line)]
+
+
+def _limits(languages: int, scores: dict[tuple[int, int], list[float]]) -> np.ndarray:
+    """The limit of each language and length class from cosines of training texts. Classes without
+    any take the limit of the next shorter one that has some, or else of the shortest."""
+    out = np.full((languages, CLASSES), np.nan)
+    for kind in range(CLASSES):
+        everything = [x for k in range(languages) for x in scores.get((k, kind), ())]
+        for k in range(languages):
+            own = scores.get((k, kind), ())
+            own = own if len(own) >= ENOUGH else everything
+            if own:
+                out[k, kind] = np.quantile(own, LOW) / 2
+    known = np.flatnonzero(~np.isnan(out[0])) if languages else ()
+    if not len(known):
+        return np.zeros((languages, CLASSES))
+    return out[:, [int(known[max(0, np.searchsorted(known, kind, "right") - 1)]) for kind in range(CLASSES)]]
 
 
 def _clusters(vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,6 +182,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.col(lang) != UNKNOWN)).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
     # At most ``per_language`` rows of each language.
+    nothing = Model([], np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0, np.int64), np.zeros(0), 0.0, np.zeros((0, CLASSES)))
     drawn = rows.join(F.broadcast(smallest_hashes(rows.select("lang", "h"), per_language)), ["lang", "h"], "left_semi")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,38 +190,74 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
         for one in batches:
             keys = list(zip(one.column("lang").to_pylist(), one.column("h").to_pylist()))
             fresh = [i for i, key in enumerate(keys) if not (key in known or known.add(key))]
-            one = one.take(pa.array(fresh, pa.int64()))
-            found = [features(t) for t in one.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([one.column("lang"), one.column("h"), pa.array([a.astype(np.int32) for a, _ in found], pa.list_(pa.int32())), pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))], ["lang", "h", "at", "n"])
-
-    chosen: dict[str, list] = {}
-    found = drawn.select("lang", "h", "text").mapInArrow(vectors, "lang string, h long, at array<int>, n array<int>")
+            lines = [letters(one.column("text")[i].as_py()) for i in fresh]
+            of, nth, kinds, at, n = [], [], [], [], []
+            for i, line in zip(fresh, lines):
+                for number, part in enumerate(beginnings(line) if len(line) else ()):
+                    grams, counts = features(part)
+                    of.append(i)
+                    nth.append(number)
+                    kinds.append(length_class(part))
+                    at.append(grams.tobytes())
+                    n.append(counts.astype(np.int32).tobytes())
+            whose = pa.array(of, pa.int64())
+            yield pa.RecordBatch.from_arrays([one.column("lang").take(whose), one.column("h").take(whose), pa.array(nth, pa.int32()), pa.array(kinds, pa.int32()), pa.array(at, pa.binary()), pa.array(n, pa.binary())], ["lang", "h", "nth", "kind", "at", "n"])
+
+    found = drawn.select("lang", "h", "text").mapInArrow(vectors, "lang string, h long, nth int, kind int, at binary, n binary")
     # Tasks send a text once, and copies of several tasks meet here.
-    once = found.groupBy("lang", "h").agg(F.min(F.struct("at", "n")).alias("v")).select("lang", "h", "v.*")
-    for row in sorted(once.collect(), key=lambda r: (r[0], r[1])):
-        if row["at"]:
-            chosen.setdefault(row["lang"], []).append(row)
+    once = found.groupBy("lang", "h", "nth").agg(F.min(F.struct("kind", "at", "n")).alias("v")).select("lang", "h", "nth", "v.*")
+    chosen: dict[str, dict[int, list]] = {}
+    for row in sorted(once.collect(), key=lambda r: r[:3]):
+        chosen.setdefault(row["lang"], {}).setdefault(row["h"], []).append((row["kind"], np.frombuffer(row["at"], np.int64), np.frombuffer(row["n"], np.int32)))
     if not chosen:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0, np.int64), np.zeros(BUCKETS), 0.0)
+        return nothing
     languages = sorted(chosen)
-    seen = np.zeros(BUCKETS)
-    total = sum(len(chosen[k]) for k in languages)
+    total = sum(map(len, chosen.values()))
+    # The languages' n-grams in most texts, in turn, up to the bound.
+    held = []
     for k in languages:
-        for row in chosen[k]:
-            seen[row["at"]] += 1
-    idf = np.log((1 + total) / (1 + seen)) + 1
-    centroids, of, near = [], [], []
+        grams, texts = np.unique(np.concatenate([parts[0][1] for parts in chosen[k].values()]), return_counts=True)
+        order = np.lexsort((grams, -texts))[:GRAMS]
+        held.append((grams[order], texts[order], np.arange(len(order))))
+    every, texts, turn = (np.concatenate(x) for x in zip(*held))
+    grams, whose = np.unique(every[np.lexsort((every, turn))], return_index=True)
+    grams = np.sort(grams[np.argsort(whose, kind="stable")][:GRAMS])
+    seen = np.zeros(len(grams))
+    near = np.minimum(np.searchsorted(grams, every), len(grams) - 1)
+    np.add.at(seen, near[grams[near] == every], texts[grams[near] == every])
+    model = Model(languages, grams, np.zeros((len(grams), 0)), np.zeros(0, np.int64), np.log((1 + total) / (1 + seen)) + 1, float(np.log(1 + total)) + 1, np.zeros((len(languages), CLASSES)))
+
+    means, of, sums, members = [], [], [], []
     for number, k in enumerate(languages):
-        block = np.zeros((len(chosen[k]), BUCKETS), np.float32)
-        for i, row in enumerate(chosen[k]):
-            block[i, row["at"]] = (1 + np.log(np.array(row["n"]))) * idf[row["at"]]
-        block /= np.linalg.norm(block, axis=1, keepdims=True)
-        means, member = _clusters(block, CLUSTERS)
-        for j, mean in enumerate(means):
-            near += (block[member == j] @ mean).tolist()
-            centroids.append(mean)
+        block = np.zeros((len(chosen[k]), len(grams)), np.float32)
+        for i, parts in enumerate(chosen[k].values()):
+            at, weights = model.vector(*parts[0][1:])
+            block[i, at] = weights
+        block /= np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-12)
+        centroids, member = _clusters(block, CLUSTERS)
+        members.append(member + len(of))
+        for j, mean in enumerate(centroids):
+            means.append(mean)
+            sums.append(block[member == j].sum(axis=0))
             of.append(number)
-    return Model(languages, np.array(centroids, np.float64).T.copy(), np.array(of), idf, SHARE * float(np.quantile(near, 0.01)))
+    model.centroids, model.of = np.array(means, np.float32).T.copy(), np.array(of)
+    # Cosines of the training texts and their beginnings, a text's own part taken out of its centroid.
+    scores: dict[tuple[int, int], list[float]] = {}
+    for number, k in enumerate(languages):
+        for own, parts in zip(members[number].tolist(), chosen[k].values()):
+            at, weights = model.vector(*parts[0][1:])
+            rest = sums[own].copy()
+            rest[at] -= weights / max(np.linalg.norm(weights), 1e-12)
+            size = np.linalg.norm(rest)
+            if size < 1e-3 and of.count(number) == 1:
+                continue  # the only text of its language
+            for kind, *gram_counts in parts:
+                at, weights = model.vector(*gram_counts)
+                cosines = weights @ model.centroids[at]
+                cosines[own] = weights @ rest[at] / size if size >= 1e-3 else 0.0
+                scores.setdefault((number, kind), []).append(float(cosines.max()))
+    model.limits = _limits(len(languages), scores)
+    return model
 
 
 def identify(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:

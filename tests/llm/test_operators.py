@@ -330,6 +330,23 @@ def test_language(spark, docs, rows):
     assert clashing.count() == len(rows) and clashing.columns.count("lang_pred") == 1
 
 
+def test_texts_in_no_known_language_are_rejected_at_every_length(spark):
+    common.ship(spark)
+    full = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(full.where("doc_id % 2 = 0"))
+    others = [r.text for r in full.where("doc_id % 2 = 1").select("text").collect()]
+    assert not any(model.predict(t)[2] for t in others)
+    for n in (1, 2, 5, 20, 100):  # short texts of the known languages stay
+        cut = [" ".join(t.split()[:n]) for t in others]
+        assert sum(model.predict(t)[2] for t in cut) <= 0.01 * len(cut)
+    random = np.random.default_rng(11)
+    alphabets = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "".join(map(chr, range(0x430, 0x450))), "greek": "".join(map(chr, range(0x3B1, 0x3CA))), "han": "".join(map(chr, range(0x4E00, 0x5600))), "hangul": "".join(map(chr, range(0xAC00, 0xB400)))}
+    for name, letters in alphabets.items():
+        for n in (20, 50, 500, 1000, 5000) if name == "latin" else (1, 2, 50, 1000, 5000):
+            text = " ".join("".join(random.choice(list(letters), random.integers(2, 9))) for _ in range(n))
+            assert model.predict(text)[2], (name, n)
+
+
 def test_copies_neither_fill_nor_empty_the_language_sample(spark):
     """Languages of few distinct texts in thousands of copies are known, whatever their hashes, and
     copies take one place only."""
