@@ -139,6 +139,12 @@ def silver(bronze: DataFrame, profiles: DataFrame) -> Silver:
     return Silver(legitimate_rows(enriched), fraud_rows(enriched), quarantined_rows(flagged))
 
 
+def without_earlier(impressions: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Impressions whose id no row of ``earlier`` has; of that only the ids are read."""
+    ids = earlier.select(F.col("impression_id").alias("_earlier"))
+    return impressions.join(ids, F.col("impression_id").eqNullSafe(F.col("_earlier")), "left_anti")
+
+
 def silver_outcomes(bronze: DataFrame, profiles: DataFrame) -> DataFrame:
     """All silver rows in one frame with ``outcome``, so that one pass can write all tables.
 

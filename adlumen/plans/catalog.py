@@ -429,7 +429,9 @@ def sink_silver_range(spark, d):
     """The three silver tables after a full write and a second one of a range of days."""
     store = _stored_silver(spark, d, "sink_silver_range")
     days = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
-    again = silver.silver_outcomes(tables.between_dates(bronze(spark, d), *days), profiles(spark, d))
+    before = tables.between_dates(bronze(spark, d), None, days[0] - dt.timedelta(days=1))
+    rows = silver.without_earlier(tables.between_dates(bronze(spark, d), *days), before)
+    again = silver.silver_outcomes(rows, profiles(spark, d))
     tables.write_silver(again, store, *days)
     return _silver_parts(spark, store)
 

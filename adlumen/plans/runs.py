@@ -1,8 +1,8 @@
 """The runs that move data between stored tables: ingest, silver, gold, gate.
 
 Only here are actions taken. Each run recomputes its tables from the layer below, all of them or an
-inclusive range of days. A run over a range removes repeated deliveries whose own days are in the
-range; copies of one impression with days on both sides of its edge meet in a full run only.
+inclusive range of days. A run over a range also leaves out repeated deliveries whose first one lies
+on a day before the range, so it keeps the same rows of these days as a full run.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from adlumen.operators import gold
 from adlumen.operators.gate import assert_gate, assert_null_rates, null_rates, quality_gate
-from adlumen.operators.silver import duplicate_profiles, silver_outcomes
+from adlumen.operators.silver import duplicate_profiles, silver_outcomes, without_earlier
 from adlumen.operators.validate import validate_impressions
 from adlumen.sources.tables import (
     Tables, ingest_rows, read_bronze, read_gold, read_silver, write_gold, write_ingest,
@@ -42,6 +42,8 @@ def run_silver(spark: SparkSession, tables: Tables, profiles: DataFrame,
         raise DuplicateProfiles(f"user {repeated.user_id} has {repeated.profiles} profiles")
     before = Observation()
     bronze = read_bronze(spark, tables, date_from, date_to).observe(before, F.count(F.lit(1)).alias("rows_before"))
+    if date_from is not None:
+        bronze = without_earlier(bronze, read_bronze(spark, tables, None, date_from - dt.timedelta(days=1)))
     counts = write_silver(silver_outcomes(bronze, profiles), tables, date_from, date_to).get
     return {**before.get, **counts}
 

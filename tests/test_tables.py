@@ -98,6 +98,17 @@ def test_runs_over_a_range_leave_other_days_alone(spark, store):
     assert "ingestion_date" in plan[plan.index("PartitionFilters"):].split("]")[0]
 
 
+def test_runs_over_a_range_know_earlier_deliveries(spark, store):
+    people = profiles(spark)
+    runs.run_ingest(messages(spark, {"impression_id": "a"}, {"impression_id": "a", "timestamp": NEXT_DAY},
+                             {"impression_id": "b", "timestamp": NEXT_DAY}), store, "one")
+    runs.run_silver(spark, store, people)
+    full = collect(tables.read_silver(spark, store, "legitimate"), "impression_id", "timestamp")
+    day = dt.date(2024, 3, 2)
+    assert runs.run_silver(spark, store, people, day, day)["legitimate"] == 1
+    assert collect(tables.read_silver(spark, store, "legitimate"), "impression_id", "timestamp") == full
+
+
 def test_silver_rerun_clears_old_quarantine(spark, store):
     people = profiles(spark)
     runs.run_ingest(messages(spark, {"country_code": "XX"}, {"impression_id": "b"}), store, "one")
