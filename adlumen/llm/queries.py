@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adlumen.llm import common, decontaminate, fingerprints, html_text, language, line_dedup, near_dedup, packing, substring_dedup, suffix_dedup, token_counts
+from adlumen.llm import (
+    common, cross_align, decontaminate, fingerprints, hard_negatives, html_text, language, line_dedup, near_dedup, packing, sharding, substring_dedup,
+    suffix_dedup, token_counts,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,11 +59,26 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=label)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded_digest(sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), shards=40))
+
+
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = cross_align.align(table(spark, sf_dir, "documents"))
+    return aligned.withColumn("groups_sha256", F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))).drop("groups")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_language_id, op3_substring_dedup, op4_decontamination, op5_token_counts,
         op6_fingerprints, op7_best_fit_packing, op8_line_dedup, op9_html_extraction, op10_suffix_array_dedup,
+        op11_hard_negatives, op12_sharding, op13_cross_tokenizer_alignment,
     )
 }
 
@@ -95,4 +113,20 @@ ORACLE: dict[str, str] = {
         left_over AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM each_word ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
         SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM w LEFT JOIN left_over USING (doc_id)""",
+    "op11_hard_negatives": r"""
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+          SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+          other_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 10""",
 }
