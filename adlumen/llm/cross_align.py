@@ -35,8 +35,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from adlumen.llm import common as c
 from adlumen.llm.tokens import Encoder, _only_single_spaces
 
-BLOCK_BYTES = 4 << 20
-CACHE = 500_000
+BLOCK_BYTES = 1 << 20
+CACHE = 200_000
 CACHED_CHARS = 48
 # Distinct pairs a task holds before it sends them.
 HELD = 2_000_000
