@@ -58,10 +58,14 @@ def cpm(total_micros: Column, impressions: Column) -> Column:
     return F.round(F.try_divide(total_micros, impressions) / (MICROS / 1000), 4)
 
 
+def whole(column: str, places: int = 4) -> Column:
+    """A value in whole units of its last decimal; NULL if it is not finite or fits no long."""
+    return F.rint(F.col(column) * 10.0 ** places).try_cast("long")
+
+
 def exact_sum(column: str, places: int = 4) -> Column:
     """Aggregate: order-independent sum of values that have at most ``places`` decimals."""
-    scale = 10.0 ** places
-    return F.sum(F.rint(F.col(column) * scale).cast("long")) / scale
+    return F.sum(whole(column, places)) / 10.0 ** places
 
 
 def most_frequent(value: str, count: Column, among: Column | None = None) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlumen.functions.columns import amount, exact_sum, micros
+from adlumen.functions.columns import amount, exact_sum, micros, whole
 from adlumen.operators.silver import dedup_first
 from adlumen.schemas import RECONCILE_HOURS
 
@@ -122,7 +122,7 @@ def engagement_by_content(engagements: DataFrame, impressions: DataFrame) -> Dat
             F.count(F.lit(1)).alias("engagements"),
             F.sum("watch_duration_seconds").alias("watch_seconds"),
             exact_sum("completion_rate").alias("completion"),
-            F.count("completion_rate").alias("completions"),
+            F.count(whole("completion_rate")).alias("completions"),
             F.count_if("clicked").alias("clicks"),
         )
     )

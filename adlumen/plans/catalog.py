@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from adlumen.operators import gate, gold, linking, serving, silver, validate
+from adlumen.plans.incremental import run_incremental
 from adlumen.schemas import BRONZE_COLUMNS, IMPRESSION_COLUMNS
 from adlumen.session import apply_settings, scratch_dir
 from adlumen.sources import fixtures, tables, topics
@@ -81,7 +82,7 @@ def bronze_impressions(spark, d):
 def scan_bronze(spark, d):
     """A range of days of a stored bronze table."""
     store = Tables(scratch_dir(spark, "scan_bronze"))
-    tables.write_ingest(tables.ingest_rows(_valid_rows(spark, d)), store, "all")
+    tables.write_ingest(tables.ingest_rows(_valid_rows(spark, d)), store, "all", "fixtures")
     return tables.read_bronze(spark, store, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
 
 
@@ -93,7 +94,7 @@ def ingest_topic_frame(spark, d):
         F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
         F.lit(dt.datetime(2024, 2, 1)).alias("timestamp"), F.lit(0).alias("timestampType"))
     store = Tables(scratch_dir(spark, "ingest_topic_frame"))
-    tables.write_ingest(tables.ingest_rows(validate.validate_impressions(sent)), store, "topic")
+    tables.write_ingest(tables.ingest_rows(validate.validate_impressions(sent)), store, "topic", "ads")
     return tables.read_ingest(spark, store).select(
         "outcome", "position", F.array_join("errors", ",").alias("errors"),
         *[c for c in IMPRESSION_COLUMNS if c != "impression_id"],
@@ -396,9 +397,9 @@ def sink_bronze_append(spark, d):
     """Two batches stored, the second one twice; the bronze table afterwards."""
     store = Tables(scratch_dir(spark, "sink_bronze_append"))
     rows = tables.ingest_rows(_valid_rows(spark, d))
-    tables.write_ingest(rows.where("NOT is_fraud"), store, "regular")
+    tables.write_ingest(rows.where("NOT is_fraud"), store, "regular", "fixtures")
     for _ in range(2):
-        tables.write_ingest(rows.where("is_fraud"), store, "fraud")
+        tables.write_ingest(rows.where("is_fraud"), store, "fraud", "fixtures")
     return tables.read_bronze(spark, store)
 
 
@@ -458,11 +459,46 @@ def sink_gold_content(spark, d):
 def sink_gold_fraud(spark, d):
     """The daily fraud table computed from stored silver, written and read back."""
     store = _stored_silver(spark, d, "sink_gold_fraud")
-    fraud = tables.read_silver(spark, store, "fraud")
+    fraud = tables.read_silver(spark, store, "fraud", "fixtures")
     tables.write_gold(gold.fraud_summary(fraud), store, "fraud_summary")
     return tables.read_gold(spark, store, "fraud_summary")
 
 
+@query
+def stored_totals(spark, d):
+    """Totals of all ingested messages, three batches of two feeds of which one is sent again, from
+    the stored counts."""
+    store = Tables(scratch_dir(spark, "stored_totals"))
+    sent = fixtures.impression_json(spark, d)
+    batches = [("one", "web", "event_id % 3 = 0"), ("one", "app", "event_id % 3 = 1"), ("two", "app", "event_id % 3 = 2")]
+    for batch, source, rows in [*batches, batches[1]]:
+        tables.write_ingest(tables.ingest_rows(validate.validate_impressions(sent.where(rows))), store, batch, source)
+    return tables.stored_ingest_stats(spark, store)
+
+
+def _incremental_store(spark, d, name: str) -> Tables:
+    """Three days that come late, after gold was computed without them."""
+    store = Tables(scratch_dir(spark, name))
+    rows = tables.ingest_rows(_valid_rows(spark, d))
+    late = F.col("ingestion_date").between(dt.date(2024, 1, 8), dt.date(2024, 1, 10))
+    for batch, some in (("regular", ~late), ("late", late)):
+        tables.write_ingest(rows.where(some), store, batch, "fixtures")
+        run_incremental(spark, store, profiles(spark, d))
+    return store
+
+
+@query
+def gold_incremental(spark, d):
+    """Hourly revenue after two incremental runs, the second one over late days only."""
+    return tables.read_gold(spark, _incremental_store(spark, d, "gold_incremental"), "revenue_by_advertiser")
+
+
+@query
+def silver_incremental(spark, d):
+    """The three silver tables after the same two runs."""
+    return _silver_parts(spark, _incremental_store(spark, d, "silver_incremental"))
+
+
 # --- streams ------------------------------------------------------------------------------
 
 

@@ -386,7 +386,9 @@ _CTES_AND_SELECTS = {
         WHERE hour + INTERVAL 1 HOUR <= (SELECT max("timestamp") - INTERVAL 1 HOUR FROM bronze)"""),
 }
 
-_CTES_AND_SELECTS["sink_silver_range"] = _CTES_AND_SELECTS["sink_silver"]
+for _name, _same in [("sink_silver_range", "sink_silver"), ("silver_incremental", "sink_silver"),
+                     ("gold_incremental", "sink_gold"), ("stored_totals", "ingest_stats")]:
+    _CTES_AND_SELECTS[_name] = _CTES_AND_SELECTS[_same]
 
 ORACLE: dict[str, str] = {
     name: f"WITH {ctes}\n{select}" for name, (ctes, select) in _CTES_AND_SELECTS.items()

@@ -6,8 +6,8 @@ Everything here is a fixed value of the data contract; no logic lives in this mo
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType,
-    TimestampType,
+    ArrayType, BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField,
+    StructType, TimestampType,
 )
 
 # --- fixed values -------------------------------------------------------------------------
@@ -98,6 +98,22 @@ INGEST_SCHEMA = StructType([
     StructField("source", StringType()),
     StructField("batch_id", StringType()),
 ])
+# What each stored batch holds; ``version`` is new with every write of the batch.
+COUNTS_SCHEMA = StructType([
+    StructField("outcome", StringType()),
+    StructField("ingestion_date", DateType()),
+    StructField("rows", LongType()),
+    StructField("fraud_rows", LongType()),
+    StructField("version", StringType()),
+    StructField("source", StringType()),
+    StructField("batch_id", StringType()),
+])
+# Which versions gold holds: +1 when their day was computed with them, -1 when it was without.
+APPLIED_SCHEMA = StructType([
+    StructField("version", StringType()),
+    StructField("ingestion_date", DateType()),
+    StructField("change", IntegerType()),
+])
 SILVER_SCHEMA = StructType([
     *_IMPRESSION,
     *_PROFILE,

@@ -12,15 +12,18 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from adlumen.operators.validate import ingest_stats, with_ingestion_date
+from adlumen.functions.columns import rate
+from adlumen.operators.validate import with_ingestion_date
 from adlumen.schemas import (
-    BRONZE_COLUMNS, CONTENT_COLUMNS, FRAUD_COLUMNS, IMPRESSION_COLUMNS, INGEST_SCHEMA,
+    BRONZE_COLUMNS, CONTENT_COLUMNS, COUNTS_SCHEMA, FRAUD_COLUMNS, IMPRESSION_COLUMNS, INGEST_SCHEMA,
     QUARANTINE_COLUMNS, REVENUE_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA,
 )
 
@@ -30,6 +33,7 @@ class Tables:
 
     root: str
     fmt: str = "parquet"
+    id_buckets: int = 16
 
     @property
     def ingest(self) -> str:
@@ -39,6 +43,18 @@ class Tables:
     def silver(self) -> str:
         return f"{self.root}/silver/impressions"
 
+    @property
+    def counts(self) -> str:
+        return f"{self.root}/ingest/counts"
+
+    @property
+    def applied(self) -> str:
+        return f"{self.root}/gold/applied_batches"
+
+    @property
+    def ids(self) -> str:
+        return f"{self.root}/silver/ids"
+
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
@@ -52,9 +68,17 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
-def between_dates(table: DataFrame, date_from: dt.date | None = None,
-                  date_to: dt.date | None = None) -> DataFrame:
-    """Rows of an inclusive range of ingestion dates; on a stored table it prunes partitions."""
+def is_stored(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def between_dates(table: DataFrame, date_from: dt.date | None = None, date_to: dt.date | None = None,
+                  days: Collection[dt.date] | None = None) -> DataFrame:
+    """Rows of an inclusive range of ingestion dates, or of single days; on a stored table it prunes
+    partitions."""
+    if days is not None:
+        table = table.where(F.col("ingestion_date").isin(list(days)))
     if date_from is not None:
         table = table.where(F.col("ingestion_date") >= F.lit(date_from))
     if date_to is not None:
@@ -62,9 +86,10 @@ def between_dates(table: DataFrame, date_from: dt.date | None = None,
     return table
 
 
-def _range_files(spark: SparkSession, path: str, date_from: dt.date | None,
-                 date_to: dt.date | None) -> dict[str, frozenset[str]]:
+def _range_files(spark: SparkSession, path: str, date_from: dt.date | None, date_to: dt.date | None,
+                 days: Collection[dt.date] | None) -> dict[str, frozenset[str]]:
     """File names of each stored day of a range, by folder; a listing of folders, not of rows."""
+    wanted = None if days is None else {str(d) for d in days}
     jvm = spark._jvm.org.apache.hadoop.fs
     root = jvm.Path(path)
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -72,30 +97,35 @@ def _range_files(spark: SparkSession, path: str, date_from: dt.date | None,
     for depth in ("", "*/"):
         for day in files.globStatus(jvm.Path(root, f"{depth}ingestion_date=*")) or ():
             date = day.getPath().getName().partition("=")[2]
+            if wanted is not None and date not in wanted:
+                continue
             if (date_from is None or date >= str(date_from)) and (date_to is None or date <= str(date_to)):
                 found[str(day.getPath())] = frozenset(f.getPath().getName() for f in files.listStatus(day.getPath()))
     return found
 
 
 def _write_days(rows: DataFrame, path: str, fmt: str, by: list[str], date_from: dt.date | None,
-                date_to: dt.date | None) -> None:
-    """Replace the days of a range, or all days, of a table partitioned by ``by``.
+                date_to: dt.date | None, days: Collection[dt.date] | None = None) -> None:
+    """Replace the days of a range, single days, or all days, of a table partitioned by ``by``.
 
-    Days outside the range are not touched. Parquet replaces each partition that has new rows and
+    Other days are not touched. Parquet replaces each partition that has new rows and
     then removes the old ones of the range that have none.
     """
     writer = rows.write.format(fmt).mode("overwrite").partitionBy(*by)
-    if date_from is None and date_to is None:
+    if date_from is None and date_to is None and days is None:
         writer.save(path)
+    elif fmt != "parquet" and days is not None:
+        named = ", ".join(f"'{d}'" for d in sorted(days))
+        writer.option("replaceWhere", f"ingestion_date IN ({named})").save(path)
     elif fmt != "parquet":
         low = [f"ingestion_date >= '{date_from}'"] if date_from else []
         high = [f"ingestion_date <= '{date_to}'"] if date_to else []
         writer.option("replaceWhere", " AND ".join(low + high)).save(path)
     else:
         spark = rows.sparkSession
-        before = _range_files(spark, path, date_from, date_to)
+        before = _range_files(spark, path, date_from, date_to, days)
         writer.option("partitionOverwriteMode", "dynamic").save(path)
-        after = _range_files(spark, path, date_from, date_to)
+        after = _range_files(spark, path, date_from, date_to, days)
         for folder, names in before.items():
             if after.get(folder) == names:
                 stale = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -134,14 +164,17 @@ def ingest_rows(validated: DataFrame) -> DataFrame:
     )
 
 
-def write_ingest(rows: DataFrame, tables: Tables, batch_id: str | int,
-                 source: str = "batch") -> Observation:
+def write_ingest(rows: DataFrame, tables: Tables, batch_id: str | int, source: str) -> Observation:
     """Add one batch to the ingest table, in one pass over it.
 
     A batch of a source owns its own partition, so writing it again under the same id replaces all
     of it instead of duplicating it, and batches of other sources are never touched. A stream's
     source is the id of its query. The returned observation holds the batch's counts; it sits in the
     writing stage, where a repeated task is not counted twice.
+
+    After the rows their counts by outcome and day are stored, under a version of their own for each
+    write: totals are read from them alone, and the version tells later runs what has changed. A
+    write that ends in between is repeated as a whole.
     """
     batch = str(batch_id)
     for name in (batch, source):
@@ -165,17 +198,38 @@ def write_ingest(rows: DataFrame, tables: Tables, batch_id: str | int,
         )
         target = tables.ingest
     writer.format(tables.fmt).mode("overwrite").save(target)
+    _write_counts(rows.sparkSession, tables, source, batch)
     return counts
 
 
+def _write_counts(spark: SparkSession, tables: Tables, source: str, batch: str) -> None:
+    """Counts of one stored batch; of its rows only the fraud flag is read."""
+    if tables.fmt == "parquet":
+        schema = StructType([f for f in INGEST_SCHEMA if f.name not in ("source", "batch_id")])
+        stored = spark.read.schema(schema).parquet(f"{tables.ingest}/source={source}/batch_id={batch}")
+    else:
+        stored = read_ingest(spark, tables).where((F.col("source") == source) & (F.col("batch_id") == batch))
+    by_day = stored.groupBy("outcome", "ingestion_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("is_fraud").alias("fraud_rows"))
+    (
+        by_day.withColumn("version", F.lit(uuid.uuid4().hex)).coalesce(1)
+        .write.mode("overwrite").parquet(f"{tables.counts}/source={source}/batch_id={batch}")
+    )
+
+
+def read_counts(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Rows of every stored batch by outcome and day."""
+    return spark.read.schema(COUNTS_SCHEMA).parquet(tables.counts)
+
+
 def read_ingest(spark: SparkSession, tables: Tables) -> DataFrame:
     return read_table(spark, tables.ingest, tables.fmt, INGEST_SCHEMA)
 
 
 def read_bronze(spark: SparkSession, tables: Tables, date_from: dt.date | None = None,
-                date_to: dt.date | None = None) -> DataFrame:
+                date_to: dt.date | None = None, days: Collection[dt.date] | None = None) -> DataFrame:
     bronze = read_ingest(spark, tables).where("outcome = 'valid'").select(*BRONZE_COLUMNS)
-    return between_dates(bronze, date_from, date_to)
+    return between_dates(bronze, date_from, date_to, days)
 
 
 def read_rejects(spark: SparkSession, tables: Tables) -> DataFrame:
@@ -185,16 +239,23 @@ def read_rejects(spark: SparkSession, tables: Tables) -> DataFrame:
 
 
 def stored_ingest_stats(spark: SparkSession, tables: Tables) -> DataFrame:
-    """Totals over all stored batches; unlike counters in a process they survive a restart."""
-    return ingest_stats(read_ingest(spark, tables))
+    """Totals over all stored batches, from their counts alone: the rows are not read again, and
+    unlike counters in a process the totals survive a restart."""
+    counts = read_counts(spark, tables)
+    of = F.col("outcome")
+    return counts.agg(
+        F.coalesce(F.sum(F.when(of == "valid", F.col("rows"))), F.lit(0)).alias("valid_count"),
+        F.coalesce(F.sum(F.when(of == "rejected", F.col("rows"))), F.lit(0)).alias("invalid_count"),
+        F.coalesce(F.sum(F.when(of == "valid", F.col("fraud_rows"))), F.lit(0)).alias("fraud_count"),
+    ).withColumn("fraud_rate", rate(F.col("fraud_count"), F.col("valid_count")))
 
 
 # --- silver -------------------------------------------------------------------------------
 
 
 def write_silver(outcomes: DataFrame, tables: Tables, date_from: dt.date | None = None,
-                 date_to: dt.date | None = None) -> Observation:
-    """Replace all silver tables, or a range of their days, in one job.
+                 date_to: dt.date | None = None, days: Collection[dt.date] | None = None) -> Observation:
+    """Replace all silver tables, or some of their days, in one job.
 
     Legitimate, fraud and quarantine rows are partitions of one location, so the shared work
     (deduplication, flags, join) runs once without caching it, and a run without quarantined rows
@@ -212,16 +273,17 @@ def write_silver(outcomes: DataFrame, tables: Tables, date_from: dt.date | None
             F.count_if((of != "quarantine") & F.col("account_tier").isNull()).alias("missing_profiles"),
         )
     )
-    _write_days(rows, tables.silver, tables.fmt, ["outcome", "ingestion_date"], date_from, date_to)
+    _write_days(rows, tables.silver, tables.fmt, ["outcome", "ingestion_date"], date_from, date_to, days)
     return counts
 
 
 def read_silver(spark: SparkSession, tables: Tables, outcome: str,
-                date_from: dt.date | None = None, date_to: dt.date | None = None) -> DataFrame:
+                date_from: dt.date | None = None, date_to: dt.date | None = None,
+                days: Collection[dt.date] | None = None) -> DataFrame:
     """The ``legitimate``, ``fraud`` or ``quarantine`` table."""
     columns = QUARANTINE_COLUMNS if outcome == "quarantine" else SILVER_COLUMNS
     table = read_table(spark, tables.silver, tables.fmt, SILVER_SCHEMA)
-    return between_dates(table.where(F.col("outcome") == outcome).select(*columns), date_from, date_to)
+    return between_dates(table.where(F.col("outcome") == outcome).select(*columns), date_from, date_to, days)
 
 
 # --- gold ---------------------------------------------------------------------------------
@@ -235,11 +297,11 @@ GOLD_COLUMNS = {
 
 
 def write_gold(table: DataFrame, tables: Tables, name: str, date_from: dt.date | None = None,
-               date_to: dt.date | None = None) -> Observation:
-    """Replace one gold table, or a range of its days; the number of files follows its size."""
+               date_to: dt.date | None = None, days: Collection[dt.date] | None = None) -> Observation:
+    """Replace one gold table, or some of its days; the number of files follows its size."""
     counts = Observation()
     rows = table.hint("rebalance", F.col("ingestion_date")).observe(counts, F.count(F.lit(1)).alias("rows"))
-    _write_days(rows, tables.gold(name), tables.fmt, ["ingestion_date"], date_from, date_to)
+    _write_days(rows, tables.gold(name), tables.fmt, ["ingestion_date"], date_from, date_to, days)
     return counts
 
 

@@ -76,3 +76,14 @@ def test_repeated_engagement_counts_once(spark):
          (None, "u", "c", "a", 1, None, False, T0)],
         ENGAGEMENT_SCHEMA)
     assert collect(engagement_by_content(engaged, seen)) == [("cnt_001", 1, 3, 62, 0.5, 1.0)]
+
+
+def test_a_completion_rate_that_is_not_finite_counts_as_missing(spark):
+    from adlumen.schemas import ENGAGEMENT_SCHEMA
+
+    def sent(name, rate):
+        return (name, "u", "cnt_001", "imp_0", 10, rate, True, T0)
+
+    engagements = spark.createDataFrame([sent("a", float("inf")), sent("b", float("nan")), sent("c", 0.5), sent("d", None)], ENGAGEMENT_SCHEMA)
+    row = engagement_by_content(engagements, bronze(spark, {})).first()
+    assert (row.engagements, row.avg_completion_rate) == (4, 0.5)

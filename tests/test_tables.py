@@ -28,7 +28,7 @@ def store(tmp_path):
 
 
 def test_ingest_stores_valid_and_rejected(spark, store):
-    counts = runs.run_ingest(messages(spark, *BATCH), store, "one")
+    counts = runs.run_ingest(messages(spark, *BATCH), store, "one", "feed")
     assert counts == {"valid_count": 4, "invalid_count": 2, "fraud_count": 1}
     stored = tables.read_bronze(spark, store)
     assert stored.columns == BRONZE_COLUMNS
@@ -40,24 +40,24 @@ def test_ingest_stores_valid_and_rejected(spark, store):
 
 
 def test_batch_written_again_replaces_itself(spark, store):
-    runs.run_ingest(messages(spark, *BATCH), store, "one")
-    runs.run_ingest(messages(spark, {"impression_id": "z"}), store, "two")
-    runs.run_ingest(messages(spark, *BATCH[:2]), store, "one")
+    runs.run_ingest(messages(spark, *BATCH), store, "one", "feed")
+    runs.run_ingest(messages(spark, {"impression_id": "z"}), store, "two", "feed")
+    runs.run_ingest(messages(spark, *BATCH[:2]), store, "one", "feed")
     assert collect(tables.read_bronze(spark, store), "impression_id") == [("a",), ("b",), ("z",)]
     assert tables.read_rejects(spark, store).count() == 0
     assert tuple(tables.stored_ingest_stats(spark, store).first()) == (3, 0, 0, 0.0)
     with pytest.raises(ValueError):
-        runs.run_ingest(messages(spark, {}), store, "../elsewhere")
+        runs.run_ingest(messages(spark, {}), store, "../elsewhere", "feed")
 
 
 def test_empty_batch_adds_nothing(spark, store):
-    runs.run_ingest(messages(spark, {}), store, 1)
-    runs.run_ingest(messages(spark, {}).limit(0), store, 2)
+    runs.run_ingest(messages(spark, {}), store, 1, "feed")
+    runs.run_ingest(messages(spark, {}).limit(0), store, 2, "feed")
     assert tables.read_ingest(spark, store).count() == 1
 
 
 def test_dates_prune_partitions(spark, store):
-    runs.run_ingest(messages(spark, *BATCH), store, "one")
+    runs.run_ingest(messages(spark, *BATCH), store, "one", "feed")
     day = dt.date(2024, 3, 2)
     pruned = tables.read_bronze(spark, store, date_from=day, date_to=day)
     plan = pruned._jdf.queryExecution().executedPlan().toString()
@@ -69,7 +69,7 @@ def test_dates_prune_partitions(spark, store):
 def test_chain_from_messages_to_gate(spark, store):
     people = profiles(spark, ("user_000001", "premium", True))
     many = [{"impression_id": f"i{n}"} for n in range(20)]
-    report = runs.run_chain(spark, store, people, messages(spark, *BATCH, *many, {"impression_id": "q", "country_code": "XX"}), "one")
+    report = runs.run_chain(spark, store, people, messages(spark, *BATCH, *many, {"impression_id": "q", "country_code": "XX"}), "one", "feed")
     assert report["silver"] == {
         "rows_before": 25, "legitimate": 22, "fraud": 1, "quarantined": 1, "missing_profiles": 1}
     assert report["gold"] == {"revenue_by_advertiser": 2, "content_performance": 2, "fraud_summary": 1}
@@ -81,11 +81,11 @@ def test_chain_from_messages_to_gate(spark, store):
 
 def test_runs_over_a_range_leave_other_days_alone(spark, store):
     people = profiles(spark, ("user_000001", "premium", True))
-    runs.run_ingest(messages(spark, *BATCH, {"impression_id": "q", "country_code": "XX", "timestamp": NEXT_DAY}), store, "one")
+    runs.run_ingest(messages(spark, *BATCH, {"impression_id": "q", "country_code": "XX", "timestamp": NEXT_DAY}), store, "one", "feed")
     runs.run_silver(spark, store, people)
     runs.run_gold(spark, store)
     day = dt.date(2024, 3, 2)
-    runs.run_ingest(messages(spark, {"impression_id": "x"}, {"impression_id": "y", "timestamp": NEXT_DAY}), store, "one")
+    runs.run_ingest(messages(spark, {"impression_id": "x"}, {"impression_id": "y", "timestamp": NEXT_DAY}), store, "one", "feed")
     assert runs.run_silver(spark, store, people, day, day) == {
         "rows_before": 1, "legitimate": 1, "fraud": 0, "quarantined": 0, "missing_profiles": 0}
     assert collect(tables.read_silver(spark, store, "legitimate"), "impression_id") == [("a",), ("y",)]
@@ -101,7 +101,7 @@ def test_runs_over_a_range_leave_other_days_alone(spark, store):
 def test_runs_over_a_range_know_earlier_deliveries(spark, store):
     people = profiles(spark)
     runs.run_ingest(messages(spark, {"impression_id": "a"}, {"impression_id": "a", "timestamp": NEXT_DAY},
-                             {"impression_id": "b", "timestamp": NEXT_DAY}), store, "one")
+                             {"impression_id": "b", "timestamp": NEXT_DAY}), store, "one", "feed")
     runs.run_silver(spark, store, people)
     full = collect(tables.read_silver(spark, store, "legitimate"), "impression_id", "timestamp")
     day = dt.date(2024, 3, 2)
@@ -111,16 +111,16 @@ def test_runs_over_a_range_know_earlier_deliveries(spark, store):
 
 def test_silver_rerun_clears_old_quarantine(spark, store):
     people = profiles(spark)
-    runs.run_ingest(messages(spark, {"country_code": "XX"}, {"impression_id": "b"}), store, "one")
+    runs.run_ingest(messages(spark, {"country_code": "XX"}, {"impression_id": "b"}), store, "one", "feed")
     assert runs.run_silver(spark, store, people)["quarantined"] == 1
-    runs.run_ingest(messages(spark, {}, {"impression_id": "b"}), store, "one")
+    runs.run_ingest(messages(spark, {}, {"impression_id": "b"}), store, "one", "feed")
     assert runs.run_silver(spark, store, people)["quarantined"] == 0
     assert tables.read_silver(spark, store, "quarantine").count() == 0
     assert tables.read_silver(spark, store, "legitimate").count() == 2
 
 
 def test_silver_refuses_duplicate_profiles(spark, store):
-    runs.run_ingest(messages(spark, {}), store, "one")
+    runs.run_ingest(messages(spark, {}), store, "one", "feed")
     with pytest.raises(runs.DuplicateProfiles):
         runs.run_silver(spark, store, profiles(spark, ("u", "free", True), ("u", "basic", True)))
 
@@ -193,7 +193,7 @@ def test_sources_do_not_replace_each_other(spark, tmp_path, store):
     put(tmp_path / "other", "1.txt", {"impression_id": "d"})
     for checkpoint in ("second", "third"):  # another stream, and the same one from its beginning
         start_ingest(topics.file_messages(spark, str(tmp_path / "other")), store, str(tmp_path / checkpoint)).awaitTermination()
-    runs.run_ingest(messages(spark, {"impression_id": "e"}), store, 0)
+    runs.run_ingest(messages(spark, {"impression_id": "e"}), store, 0, "feed")
     runs.run_ingest(messages(spark, {"impression_id": "f"}), store, 0, source="elsewhere")
     assert collect(tables.read_bronze(spark, store), "impression_id") == [(x,) for x in "abcddef"]
 
@@ -203,7 +203,7 @@ def test_frames_of_a_topic_keep_their_position(spark, store):
     frame = spark.createDataFrame(
         [(b"k", value, "ads", 3, 17, T0, 0), (None, b"no json", "ads", 3, 18, T0, 0)],
         "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
-    runs.run_ingest(frame, store, "one")
+    runs.run_ingest(frame, store, "one", "feed")
     assert collect(tables.read_ingest(spark, store), "position", "impression_id", "outcome") == [
         ("ads/3/17", "a", "valid"), ("ads/3/18", None, "rejected")]
     assert runs.validate_impressions(frame).columns[:2] == ["value", "source"]
@@ -225,7 +225,7 @@ def test_stream_and_batch_agree(spark, tmp_path, store):
     put(tmp_path / "in", "2.txt", *BATCH[3:])
     ingest(spark, tmp_path, store)
     batch = Tables(str(tmp_path / "batch"))
-    runs.run_ingest(messages(spark, *BATCH), batch, 0)
+    runs.run_ingest(messages(spark, *BATCH), batch, 0, "feed")
     assert collect(tables.read_bronze(spark, store)) == collect(tables.read_bronze(spark, batch))
 
 
