@@ -21,7 +21,9 @@ from adlumen.session import apply_settings, scratch_dir
 from adlumen.sources import fixtures, tables, topics
 from adlumen.sources.tables import Tables
 from adlumen.streaming.ingest import start_ingest
-from adlumen.streaming.windows import dedup_stream, hourly_revenue_stream
+from adlumen.streaming.late import read_deduplicated, start_dedup_with_late
+from adlumen.streaming.reconcile import payment_reconciliation_stream
+from adlumen.streaming.windows import dedup_stream, hourly_revenue_stream, served_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -547,3 +549,67 @@ def stream_hourly_revenue(spark, d):
         .trigger(availableNow=True).start().awaitTermination()
     )
     return spark.read.schema(hourly.schema).parquet(f"{root}/hourly")
+
+
+def _replayed(slices: list[DataFrame], path: str, files: int = 8) -> DataFrame:
+    """The slices as a stream that takes one of them in each batch."""
+    for rows in slices:
+        rows.repartition(files).write.mode("append").parquet(path)
+    spark = slices[0].sparkSession
+    return spark.readStream.schema(slices[0].schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _by_days(rows: DataFrame, *first_days: int) -> list[DataFrame]:
+    """Slices of January by event time; the first one has all before the first day named."""
+    cuts = [dt.datetime(2024, 1, 1) + dt.timedelta(days=n - 1) for n in first_days]
+    at = F.col("timestamp")
+    return [
+        rows.where((at >= F.lit(low) if low else F.lit(True)) & (at < F.lit(high) if high else F.lit(True)))
+        for low, high in zip([None, *cuts], [*cuts, None])
+    ]
+
+
+@query
+def stream_dedup_late(spark, d):
+    """Bronze replayed in four batches by time, and what was held back of it in a fifth, long late:
+    every 97th event, and of every 150th the first delivery, of every 250th the second one."""
+    root = scratch_dir(spark, "stream_dedup_late")
+    rows = fixtures.impressions_with_source(spark, d)
+    event, copy = F.col("event_id"), F.col("copy")
+    held = (event % 97 == 0) | ((event % 150 == 0) & (copy == 0)) | ((event % 250 == 0) & (copy == 1))
+    slices = [*_by_days(rows.where(~held), 9, 17, 24), rows.where(held)]
+    stream = _replayed([s.select(*BRONZE_COLUMNS) for s in slices], f"{root}/impressions")
+    start_dedup_with_late(stream, f"{root}/kept", f"{root}/checkpoint").awaitTermination()
+    return read_deduplicated(spark, f"{root}/kept").drop("timestamp", "ingestion_date")
+
+
+def _with_end(slices: list[DataFrame], key: str) -> list[DataFrame]:
+    """One more slice, of a row so late that the watermark passes all others."""
+    end = {key: F.lit("end"), "timestamp": F.lit(dt.datetime(2024, 6, 1))}
+    if "ingestion_date" in slices[0].columns:
+        end["ingestion_date"] = F.lit(dt.date(2024, 6, 1))
+    last = slices[0].sparkSession.range(8).select(
+        *[end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in slices[0].schema])
+    return [*slices, last]
+
+
+@query
+def stream_payment_reconciliation(spark, d):
+    """Payments and impressions as two streams of five batches, and an end that completes them. The
+    last half hour of three days of impressions comes a batch late, and second deliveries more than
+    a week, so that the first ones stay as in the batch form."""
+    root = scratch_dir(spark, "stream_payment_reconciliation")
+    at = F.col("timestamp")
+    tardy = at.cast("date").isin(*[dt.date(2024, 1, n) for n in (8, 16, 23)]) & (F.date_format(at, "HH:mm") >= "23:30")
+    arrival = F.when(F.col("copy") == 1, F.timestamp_add("DAY", F.lit(8), at)).when(tardy, F.timestamp_add("MINUTE", F.lit(40), at)).otherwise(at)
+    sent = fixtures.impressions_with_source(spark, d).withColumns({"event_time": at, "timestamp": arrival})
+    seen = [s.withColumn("timestamp", F.col("event_time")).select(*BRONZE_COLUMNS) for s in _by_days(sent, 9, 17, 24, 32)]
+    paid = _by_days(fixtures.payments(spark, d), 9, 17, 24, 32)
+    served = served_stream(_replayed(_with_end(seen, "impression_id"), f"{root}/impressions"))
+    stream = payment_reconciliation_stream(_replayed(_with_end(paid, "payment_id"), f"{root}/payments"), served)
+    (
+        stream.writeStream.format("parquet").option("path", f"{root}/reconciled")
+        .option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return spark.read.schema(stream.schema).parquet(f"{root}/reconciled")

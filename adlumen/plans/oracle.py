@@ -387,7 +387,9 @@ _CTES_AND_SELECTS = {
 }
 
 for _name, _same in [("sink_silver_range", "sink_silver"), ("silver_incremental", "sink_silver"),
-                     ("gold_incremental", "sink_gold"), ("stored_totals", "ingest_stats")]:
+                     ("gold_incremental", "sink_gold"), ("stored_totals", "ingest_stats"),
+                     ("stream_dedup_late", "stream_dedup"),
+                     ("stream_payment_reconciliation", "payment_reconciliation")]:
     _CTES_AND_SELECTS[_name] = _CTES_AND_SELECTS[_same]
 
 ORACLE: dict[str, str] = {

@@ -30,13 +30,18 @@ def rows_dropped_late(query: StreamingQuery) -> int:
     )
 
 
+def served_stream(impressions: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Distinct clean legitimate impressions, with a watermark on their time."""
+    return legitimate_rows(clean_rows(flag_quality(dedup_stream(impressions, delay))))
+
+
 def hourly_revenue_stream(impressions: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Hourly revenue per advertiser as a stream; an hour is emitted once, when it is complete.
 
     The same figures as the stored table's, including the exact campaign count: a first window
     per campaign, a second one over its results. Ranks need a whole hour and are left to the table.
     """
-    served = legitimate_rows(clean_rows(flag_quality(dedup_stream(impressions, delay))))
+    served = served_stream(impressions, delay)
     hour = F.window("timestamp", "1 hour")
     per_campaign = served.groupBy(hour, "advertiser_id", "campaign_id").agg(
         F.sum(micros("bid_price")).alias("spend"),
