@@ -163,6 +163,48 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+# How many texts one id may name, and the bits that tell them apart.
+_TEXTS_BITS = 20
+
+
+def told_apart(texts: DataFrame) -> tuple[DataFrame, DataFrame | None, int]:
+    """``texts (id, text, ...)`` with ids that name one text each, in the order of the ids.
+
+    Where no id names several texts, as usual, that is ``texts`` itself. Else new ids take their
+    place: returns also (key, id), to give them back by ``named``, and the bits that tell apart the
+    texts of one id. Equal rows keep one id; rows without an id have none.
+    """
+    spark = texts.sparkSession
+    keyed = texts.withColumn("_hash", F.xxhash64("text"))
+    pairs = keyed.where("id is not null").select("id", "_hash")
+    if pairs.groupBy("id").agg(F.min("_hash").alias("lo"), F.max("_hash").alias("hi")).where("lo <> hi").isEmpty():
+        return texts, None, 0
+    parts = min(512, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    in_order = pairs.distinct().repartitionByRange(parts, "id").sortWithinPartitions("id", "_hash")
+    in_order = stored(in_order.withColumn("n", F.monotonically_increasing_id()), "ids")
+    first = in_order.groupBy("id").agg(F.min("n").alias("first"), F.count("*").alias("texts"))
+    if first.agg(F.max("texts")).first()[0] >= 1 << _TEXTS_BITS:
+        raise ValueError(f"an id names more than {1 << _TEXTS_BITS} texts")
+    names = stored(in_order.join(first, "id").select("id", "_hash", F.shiftleft("first", _TEXTS_BITS).bitwiseOR(F.col("n") - F.col("first")).alias("key")), "ids")
+    others = [F.col(k) for k in texts.columns if k != "id"]
+    return keyed.join(names, ["id", "_hash"], "left").select(F.col("key").alias("id"), *others), names.select("key", "id"), _TEXTS_BITS
+
+
+def named(result: DataFrame, names: DataFrame | None) -> DataFrame:
+    """A result by the ids of ``told_apart`` with the ids that were given, under ``doc_id``."""
+    if names is None:
+        return result
+    columns = [F.col("_id").alias(k) if k == "doc_id" else F.col(k) for k in result.columns]
+    return result.join(names.select("key", F.col("id").alias("_id")), F.col("doc_id") == F.col("key"), "left").select(*columns)
+
+
+def bounded(one: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most ``limit`` bytes of one column, or one row."""
+    offsets, _ = bytes_column(one.column(column))
+    for first, last in chunks(offsets, limit):
+        yield one.slice(first, last - first)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the executors, once for each application."""
     context = spark.sparkContext

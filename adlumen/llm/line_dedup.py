@@ -30,6 +30,8 @@ from adlumen.llm import common as c
 MIN_CHARS = 24
 # Half-line keys up to this count are broadcast; beyond it the join is shuffled.
 BROADCAST_ROWS = 200_000
+# Variants a task holds before it sends them.
+HELD = 300_000
 
 LINES = pa.schema([("digest", pa.binary()), ("id", pa.int64()), ("line", pa.int32()), ("halves", pa.list_(pa.int64()))])
 _BASE = 0xA0761D6478BD642F
@@ -62,7 +64,7 @@ def lines_of(texts: DataFrame, min_chars: int) -> DataFrame:
     """The lines that are not blank of ``texts (id, text)``: digest, id, line and half keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one in batches:
+        for one in (piece for batch in batches for piece in c.bounded(batch)):
             digests, ids, numbers, halves = [], [], [], []
             for ident, text in zip(one.column("id").to_pylist(), one.column("text").to_pylist()):
                 for number, line in enumerate(text.split("\n")):
@@ -92,13 +94,13 @@ def variants(candidates: DataFrame, parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for one in batches:
+        for one in (piece for batch in batches for piece in c.bounded(batch)):
             for row in one.to_pylist():
                 without, whole = variant_hashes(row["text"])
                 n = len(without) + 1
                 held.append((np.append(without, whole), np.full(n, row["id"]), np.full(n, row["line"], np.int32), np.append(np.arange(n - 1), -1).astype(np.int32)))
                 size += n
-                if size > 1_000_000:
+                if size > HELD:
                     yield send(held)
                     held, size = [], 0
         if held:
@@ -163,7 +165,7 @@ def dropped_lines(texts: DataFrame, held: DataFrame, parts: int, min_chars: int)
     near = near.groupBy("id").agg(F.collect_list("line").alias("lines"))  # of one document each
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one in batches:
+        for one in (piece for batch in batches for piece in c.bounded(batch, "packed")):
             ids, numbers, found = [], [], []
             for row in one.to_pylist():
                 all_lines = c.decompress(row["packed"]).decode().split("\n")
@@ -188,18 +190,20 @@ def remove_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     n_lines, n_removed (long: lines that are not blank), kept (string: the other lines as they
     stood, joined by line feeds), and ``carried``, a struct of the columns named in ``carry``.
 
-    A null text is empty and has no lines. A row repeated under the same id has the same lines, which
-    are no earlier ones. Rows without an id are returned whole and take no part. An empty table
+    A null text is empty and has no lines. Rows that share an id are texts of their own, in the order of a hash of
+    them; a row repeated with the same text has the same lines, which are no earlier ones. Rows without an id are returned whole and take no part. An empty table
     gives an empty result; other columns are not read.
     """
-    texts = documents.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.struct(F.lit(True).alias("_"), *(carry or [])).alias("carried"))
+    carried = F.struct(*(F.col("`" + k.replace("`", "``") + "`") for k in carry)) if carry else F.struct(F.lit(True).alias("_"))
+    texts = documents.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), carried.alias("carried"))
+    texts, names, _ = c.told_apart(texts)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one in batches:
+        for one in (piece for batch in batches for piece in c.bounded(batch)):
             yield pa.RecordBatch.from_arrays([one.column("id"), pa.array([c.compress(x.encode()) for x in one.column("text").to_pylist()], pa.binary()), one.column("carried")], ["id", "packed", "carried"])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one in batches:
+        for one in (piece for batch in batches for piece in c.bounded(batch, "packed")):
             n_lines, n_removed, kept = [], [], []
             for raw, numbers in zip(one.column("packed").to_pylist(), one.column("lines").to_pylist()):
                 lines, gone = c.decompress(raw).decode().split("\n"), set(numbers or ())
@@ -215,4 +219,5 @@ def remove_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     gone = gone.groupBy("id").agg(F.collect_set("line").alias("lines"))
     schema = T.StructType([*(T.StructField(k, T.LongType()) for k in ("doc_id", "n_lines", "n_removed")), T.StructField("kept", T.StringType()), carried])
     result = held.join(gone, "id", "left").mapInArrow(keep, schema)
+    result = c.named(result, names)
     return result if carry else result.drop("carried")

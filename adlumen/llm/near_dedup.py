@@ -20,8 +20,8 @@ bands.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -37,6 +37,8 @@ ROWS = 5
 PATIENCE = 8
 # Members of a component that are compared with a document in one row.
 BLOCK = 64
+# Bytes of shingle hashes that a task keeps for the texts it compares.
+REMEMBERED = 32 << 20
 
 _random = np.random.default_rng(7919)
 _FACTOR = _random.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -100,12 +102,25 @@ def signatures(texts: DataFrame, n: int) -> DataFrame:
 
 
 def _remembered(n: int) -> Callable[[bytes], np.ndarray]:
-    """The shingle hashes of a packed text; members of one bucket come again and again."""
+    """The shingle hashes of a packed text; members of one bucket come again and again. As many are
+    kept as fit into ``REMEMBERED`` bytes, the ones asked for last."""
+    held: OrderedDict[bytes, np.ndarray] = OrderedDict()
+    size = 0
 
-    @lru_cache(2000)
     def hashes(packed: bytes) -> np.ndarray:
+        nonlocal size
+        found = held.get(packed)
+        if found is not None:
+            held.move_to_end(packed)
+            return found
         data = np.frombuffer(c.decompress(packed), np.uint8)
-        return shingle_hashes(data, np.array([0, len(data)]), n)[0]
+        found = shingle_hashes(data, np.array([0, len(data)]), n)[0]
+        held[packed] = found
+        size += found.nbytes + len(packed)
+        while size > REMEMBERED and len(held) > 1:
+            old, gone = held.popitem(last=False)
+            size -= gone.nbytes + len(old)
+        return found
 
     return hashes
 
@@ -126,7 +141,7 @@ def linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
         hashes = _remembered(n)
         for one in batches:
             a, b = [], []
-            for x, y, px, py in zip(*(one.column(k).to_pylist() for k in ("a", "b", "pa", "pb"))):
+            for x, y, px, py in zip(*((x.as_py() for x in one.column(k)) for k in ("a", "b", "pa", "pb"))):
                 if _similar(hashes(px), hashes(py), percent):
                     a.append(x)
                     b.append(y)
@@ -153,7 +168,7 @@ def _open_components(rows: DataFrame, texts: DataFrame, n: int, percent: int) ->
     rarest ``size - ceil(size * percent / 100) + 1`` in an order that is the same for all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one in batches:
+        for one in (piece for batch in batches for piece in c.bounded(batch, "packed")):
             ids, labels, sizes, found, times = [], [], [], [], []
             seen: dict[int, list[np.ndarray]] = {}
             for ident, label, lead, packed in zip(*(one.column(k).to_pylist() for k in ("id", "label", "lead", "packed"))):
@@ -226,7 +241,7 @@ def _linked_members(wanted: DataFrame, rows: DataFrame, texts: DataFrame, n: int
         hashes = _remembered(n)
         for one in batches:
             a, b = [], []
-            for x, packed, members in zip(*(one.column(k).to_pylist() for k in ("a", "packed", "members"))):
+            for x, packed, members in zip(*((x.as_py() for x in one.column(k)) for k in ("a", "packed", "members"))):
                 found = [m["id"] for m in members if _similar(hashes(packed), hashes(m["packed"]), percent)]
                 a += [x] * len(found)
                 b += found
@@ -277,7 +292,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     weights = members.groupBy("id").agg(F.sum("n").alias("weight"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one in batches:
+        for one in (piece for batch in batches for piece in c.bounded(batch)):
             some = [c.compress(b" ".join((x or "").encode().lower().split())) for x in one.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([one.column("id"), pa.array(some, pa.binary())], ["id", "packed"])
 

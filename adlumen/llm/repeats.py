@@ -49,6 +49,11 @@ class Shape:
     width: int
     gram: int
     anywhere: bool
+    # Ids differ by their higher bits; these lower ones tell the texts of one id apart.
+    shared_bits: int = 0
+
+    def later(self, ids: np.ndarray, than: np.ndarray) -> np.ndarray:
+        return (ids >> self.shared_bits) > (than >> self.shared_bits)
 
     def symbols(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Hash of each symbol's n-gram, symbol starts, ends, and the symbol range of each text."""
@@ -219,7 +224,7 @@ def settled_here(some: Stretches, shape: Shape) -> tuple[np.ndarray, np.ndarray]
     first = first[which]
     if shape.anywhere:
         return first != np.arange(len(some)), counts > 1
-    later = some.ids > some.ids[first]
+    later = shape.later(some.ids, some.ids[first])
     return later, later
 
 
@@ -260,7 +265,7 @@ def contexts(joined: DataFrame, shape: Shape, parts: int) -> DataFrame:
             rows, seen = sorted(one.to_pylist(), key=lambda r: r["id"]), {}
             for row in rows:
                 first = seen.setdefault(row["packed"], [row["id"], 0])
-                if first[1] and (shape.anywhere or row["id"] > first[0]):
+                if first[1] and (shape.anywhere or shape.later(row["id"], first[0])):
                     whole.append((row["id"], first[1]))
                     if shape.anywhere:
                         whole.append((first[0], first[1]))

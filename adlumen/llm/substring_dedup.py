@@ -44,17 +44,17 @@ def subtree_leaves(texts: list[bytes], counts: np.ndarray, width: int) -> tuple[
     return order, np.concatenate([[0], np.cumsum(common < width)])
 
 
-def later_windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def later_windows(batches: Iterator[pa.RecordBatch], shape: r.Shape) -> Iterator[pa.RecordBatch]:
     some, _, settled = r.received(batches)
     yield from settled
     for portion, _ in r.portions(some, SUFFIXES):
-        order, node = subtree_leaves(portion.texts, portion.counts, width)
+        order, node = subtree_leaves(portion.texts, portion.counts, shape.width)
         owner = np.repeat(np.arange(len(portion)), portion.counts)
         start = np.arange(len(owner)) - (np.cumsum(portion.counts) - portion.counts)[owner] + portion.starts[owner]
         ids = portion.ids[owner]
         smallest = np.minimum.reduceat(ids[order], np.flatnonzero(np.concatenate([[True], np.diff(node) != 0])))
         hit = np.zeros(len(owner), bool)
-        hit[order] = ids[order] > smallest[node]
+        hit[order] = shape.later(ids[order], smallest[node])
         yield r.window_spans(portion.ids, owner[hit], start[hit])
 
 
@@ -66,13 +66,15 @@ def remove_repeats(documents: DataFrame, doc_id: str | Column = "doc_id", text:
     n_removed (long), kept (string: the kept words joined by one space).
 
     Null and empty texts have no words: 0, 0 and ''. Texts with fewer than ``width`` words stay
-    whole. A row repeated under the same id is no smaller id, so both rows get the same result. Rows
-    without an id are returned whole and take no part in the comparison. An empty table gives an
+    whole. Rows that share an id are judged each by its own text, and none of them has a smaller id
+    than the others; repeated rows get the same result. Rows without an id are returned whole and take no part in the comparison. An empty table gives an
     empty result; other columns, whatever their names, are not read.
     """
-    shape = r.Shape(True, width, gram, False)
     texts = documents.select((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("long").alias("id"), (F.col(text) if isinstance(text, str) else text).alias("text"))
 
+    texts, names, bits = c.told_apart(texts)
+    shape = r.Shape(True, width, gram, False, bits)
+
     def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one in batches:
             packed = [c.compress(b" ".join((x or "").encode().split())) for x in one.column("text").to_pylist()]
@@ -89,8 +91,8 @@ def remove_repeats(documents: DataFrame, doc_id: str | Column = "doc_id", text:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string()))], ["doc_id", "n_words", "n_removed", "kept"]) if rows else pa.RecordBatch.from_pylist([], KEPT)
 
     parts = c.parts_for(texts, "text")
-    found = r.search(texts, texts.mapInArrow(normal, "id long, packed binary"), shape, parts, lambda batches: later_windows(batches, width))
-    return found.mapInArrow(keep, "doc_id long, n_words long, n_removed long, kept string")
+    found = r.search(texts, texts.mapInArrow(normal, "id long, packed binary"), shape, parts, lambda batches: later_windows(batches, shape))
+    return c.named(found.mapInArrow(keep, "doc_id long, n_words long, n_removed long, kept string"), names)
 
 
 KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])

@@ -203,13 +203,15 @@ def remove_repeats(documents: DataFrame, doc_id: str | Column = "doc_id", text:
     n_removed, n_spans (long: maximal removed runs), kept (binary: the remaining bytes).
 
     Null and empty texts have no bytes: zeros and an empty value. Texts shorter than ``width`` stay
-    whole. Rows repeated under one id are places of their own, so repeated rows lose all that
+    whole. Rows that share an id are texts of their own, and repeated rows places of their own, so repeated rows lose all that
     ``width`` bytes reach. Rows without an id are returned whole and take no part. An empty table
     gives an empty result; other columns, whatever their names, are not read.
     """
     shape = r.Shape(False, width, gram, True)
     texts = documents.select((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("long").alias("id"), (F.col(text) if isinstance(text, str) else text).alias("text"))
 
+    texts, names, _ = c.told_apart(texts)
+
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one in batches:
             yield pa.RecordBatch.from_arrays([one.column("id"), pa.array([c.compress((x or "").encode()) for x in one.column("text").to_pylist()], pa.binary())], ["id", "packed"])
@@ -228,7 +230,7 @@ def remove_repeats(documents: DataFrame, doc_id: str | Column = "doc_id", text:
 
     parts = c.parts_for(texts, "text")
     found = r.search(texts, texts.mapInArrow(packed, "id long, packed binary"), shape, parts, lambda batches: repeated_windows(batches, shape))
-    return found.mapInArrow(keep, KEPT)
+    return c.named(found.mapInArrow(keep, KEPT), names)
 
 
 def digest(result: DataFrame) -> DataFrame:
