@@ -16,44 +16,91 @@ from adlumen.llm import common, decontaminate, language, line_dedup, near_dedup,
 ORACLE_SQL = None
 
 
-def _with_text(docs: DataFrame, text: Column) -> list[Column]:
-    """The columns of docs with a new text and its length."""
-    kinds = dict(docs.dtypes)
-    new = {"text": text, "n_chars": F.char_length(text).cast(kinds.get("n_chars", "long"))}
-    return [new[k].alias(k) if k in new else F.col(f"carried.{k}") for k in docs.columns]
+# A task holds a batch several times over: in the JVM, as Arrow and as Python strings.
+BATCH_BYTES = "4m"
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that the labelled ones show; fills in missing languages."""
+def _ready(spark: SparkSession) -> None:
     common.ship(spark)
-    found = language.identify(docs, language.fit(docs)).where("not rejected")
-    return found.select(*(F.coalesce("lang", "lang_pred").alias(k) if k == "lang" else k for k in docs.columns))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _whole(docs: DataFrame) -> Column:
+    """All columns in a struct ``row``, where their names can meet no other."""
+    return F.struct(*map(_column, docs.columns)).alias("row")
+
+
+def _taken_apart(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*(F.col("row").getField(k).alias(k) for k in columns))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in a language that the labelled ones show; fills in missing languages.
+
+    Null and empty texts and those without letters are in no language and go. Where no row has both
+    a text and a language, nothing is known and every row stays. Repeated rows and rows that share
+    an id or have none are judged one by one. No other column is changed, whatever its name. An
+    empty table stays empty.
+    """
+    _ready(spark)
+    model = language.fit(docs.select("text", "lang"))
+    if not model.languages:
+        return docs
+    found = language.identify(docs.select("text", _whole(docs)), model).where("not rejected")
+    row = F.col("row")
+    return found.select(*(F.coalesce(row.getField(k), F.col("lang_pred")).alias(k) if k == "lang" else row.getField(k).alias(k) for k in docs.columns))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes lines that repeat an earlier one; documents of which no line is left go."""
-    common.ship(spark)
+    """Removes lines that repeat an earlier one; documents of which no line is left go.
+
+    Null texts become empty ones; they and blank texts have no lines and stay. A document without an
+    id stays whole. Rows that share an id are documents of their own. All other columns stay as they
+    are, but n_chars, which follows the text. An empty table stays empty.
+    """
+    _ready(spark)
     others = [k for k in docs.columns if k not in ("text", "n_chars")]
-    left = line_dedup.remove_lines(docs, carry=others).where("n_removed < n_lines or n_removed = 0")
-    return left.select(*_with_text(docs, F.col("kept")))
+    left = line_dedup.remove_lines(docs.select("text", *map(_column, others)), carry=others).where("n_removed < n_lines or n_removed = 0")
+    kinds = dict(docs.dtypes)
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast(kinds.get("n_chars", "long"))}
+    return left.select(*(new[k].alias(k) if k in new else F.col("carried").getField(k).alias(k) for k in docs.columns))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates."""
-    common.ship(spark)
-    gone = near_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    """Keeps the document with the smallest id of each group of near duplicates.
+
+    Null, empty and blank texts are near nothing and stay, as do rows without an id. Rows that share
+    an id are one document and stay or go together. Other columns are not read. An empty table stays
+    empty.
+    """
+    _ready(spark)
+    gone = near_dedup.near_duplicates(docs.select("doc_id", "text")).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    left = docs.select("doc_id", _whole(docs)).join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return _taken_apart(left, docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that hold no benchmark item to a contaminating share."""
-    common.ship(spark)
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Keeps documents that hold no benchmark item to a contaminating share.
+
+    Null and empty texts hold nothing and stay. Rows are judged one by one, whatever their ids; other
+    columns pass through. Without an item, or without documents, nothing changes.
+    """
+    _ready(spark)
+    left = decontaminate.clean(docs.select("text", _whole(docs)), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _taken_apart(left, docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents and their places in training sequences."""
-    common.ship(spark)
+    """Token pieces of the documents and their places in training sequences.
+
+    A null text is empty and has the end token alone. Every row is packed, also repeated ones and
+    those that share an id or have none. An empty table gives no pieces; other columns are not read.
+    """
+    _ready(spark)
     return packing.pack(docs)
 
 
