@@ -83,3 +83,10 @@ def assert_null_rates(rates: DataFrame) -> None:
     broken = [r.column_name for r in rates.where("NOT within_limit").collect()]
     if broken:
         raise GateFailed(f"more than {MAX_NULL_RATE:.0%} NULL in {', '.join(sorted(broken))}")
+
+
+def assert_price_drift(drift: DataFrame) -> None:
+    """Raise when prices of a day are too far from those of the day before; see ``bid_price_drift``."""
+    moved = drift.where("NOT within_limit").orderBy("ingestion_date").collect()  # one row a day
+    if moved:
+        raise GateFailed("prices moved on " + ", ".join(f"{r.ingestion_date} ({r.distance})" for r in moved))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from adlumen.operators import gate, gold, linking, serving, silver, validate
+from adlumen.operators import bursts, gate, gold, history, linking, serving, silver, validate
 from adlumen.plans.incremental import run_incremental
 from adlumen.schemas import BRONZE_COLUMNS, IMPRESSION_COLUMNS
 from adlumen.session import apply_settings, scratch_dir
@@ -372,6 +372,48 @@ def null_rates(spark, d):
     return gate.null_rates(bronze(spark, d))
 
 
+@query
+def bid_price_drift(spark, d):
+    return bursts.bid_price_drift(bursts.price_bins(bronze(spark, d)))
+
+
+@query
+def fraud_sessions(spark, d):
+    return bursts.fraud_sessions(_caught(spark, d))
+
+
+@query
+def distinct_over_range(spark, d):
+    """Distinct counts over three ranges of days from stored sketches of the days: whether each is
+    within two percent of an exact count."""
+    store = Tables(scratch_dir(spark, "distinct_over_range"))
+    served = _served(spark, d)
+    tables.write_gold(bursts.distinct_sketches(served), store, "distinct_sketches")
+    stored = tables.read_table(spark, store.gold("distinct_sketches"))
+    out = []
+    for name, last in (("day", 3), ("week", 9), ("month", 31)):
+        days = dt.date(2024, 1, 3), dt.date(2024, 1, last)
+        estimated = bursts.distinct_over_range(tables.between_dates(stored, *days))
+        exact = tables.between_dates(served, *days).agg(*[F.count_distinct(c).alias(c) for c in bursts.COUNTED])
+        out.append(estimated.crossJoin(exact).select(  # one row each
+            F.lit(name).alias("range"), *bursts.COUNTED,
+            *[(F.abs(F.col(f"{c}_count") - F.col(c)) <= 0.02 * F.col(c)).alias(f"{c}_near") for c in bursts.COUNTED]))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+# --- changing profiles --------------------------------------------------------------------
+
+
+@query
+def apply_profile_changes(spark, d):
+    return history.apply_profile_changes(fixtures.profile_changes(spark, d))
+
+
+@query
+def enrich_as_of(spark, d):
+    return history.enrich_as_of(_clean(spark, d), history.apply_profile_changes(fixtures.profile_changes(spark, d)))
+
+
 # --- linked events ------------------------------------------------------------------------
 
 

@@ -386,6 +386,59 @@ _CTES_AND_SELECTS = {
         WHERE hour + INTERVAL 1 HOUR <= (SELECT max("timestamp") - INTERVAL 1 HOUR FROM bronze)"""),
 }
 
+_MOMENT = "TIMESTAMP '{}' + to_minutes(CAST(k % 1000 AS INTEGER))"
+_HISTORY = PROFILES + f""",
+keyed AS (SELECT *, CAST(substr(user_id, 6) AS BIGINT) AS k FROM profiles),
+feed AS (
+  SELECT *, 'insert' AS op, {_MOMENT.format("2024-01-02 00:00:00")} AS changed_at FROM keyed
+  UNION ALL SELECT * REPLACE ('premium' AS account_tier), 'update', {_MOMENT.format("2024-01-09 06:00:00")} FROM keyed WHERE k % 3 = 0
+  UNION ALL SELECT * REPLACE ('enterprise' AS account_tier), 'update', {_MOMENT.format("2024-01-18 06:00:00")} FROM keyed WHERE k % 3 = 0
+  UNION ALL SELECT *, 'delete', {_MOMENT.format("2024-01-24 06:00:00")} FROM keyed WHERE k % 11 = 0),
+ranges AS (
+  SELECT * EXCLUDE (op) FROM (
+    SELECT user_id, account_tier, registration_country, preferred_currency, is_verified, op, changed_at AS valid_from,
+      lead(changed_at) OVER (PARTITION BY user_id ORDER BY changed_at) AS valid_to
+    FROM feed) WHERE op <> 'delete')"""
+_CTES_AND_SELECTS["apply_profile_changes"] = (_HISTORY, "SELECT * FROM ranges")
+_CTES_AND_SELECTS["enrich_as_of"] = (FLAGGED + "," + _HISTORY, """
+    SELECT c.*, r.account_tier, r.registration_country, r.preferred_currency, r.is_verified
+    FROM clean c LEFT JOIN ranges r ON r.user_id = c.user_id AND r.valid_from <= c."timestamp"
+      AND (r.valid_to IS NULL OR c."timestamp" < r.valid_to)""")
+_CTES_AND_SELECTS["fraud_sessions"] = (SILVER, f"""
+    SELECT user_id, min("timestamp") AS started, max("timestamp") AS ended, count(*) AS impressions, {_round(_SPEND, 4)} AS revenue_at_risk
+    FROM (
+      SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY "timestamp" ROWS UNBOUNDED PRECEDING) AS burst
+      FROM (
+        SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp") <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS begins
+        FROM fraud))
+    GROUP BY user_id, burst""")
+_CTES_AND_SELECTS["bid_price_drift"] = (SOURCE, """
+    , bins AS (
+      SELECT ingestion_date, CAST(ceil(ln(bid_price) / ln((1 + 0.01) / CAST(1 - 0.01 AS DOUBLE))) AS BIGINT) AS bin, count(*) AS n
+      FROM bronze WHERE bid_price > 0 AND isfinite(bid_price) GROUP BY ALL),
+    days AS (SELECT ingestion_date, lag(ingestion_date) OVER (ORDER BY ingestion_date) AS before FROM (SELECT DISTINCT ingestion_date FROM bins)),
+    edges AS (SELECT d.ingestion_date, d.before, e.bin FROM days d JOIN (SELECT DISTINCT ingestion_date, bin FROM bins) e ON e.ingestion_date IN (d.ingestion_date, d.before) GROUP BY ALL),
+    shares AS (
+      SELECT e.ingestion_date, e.bin,
+        (SELECT sum(n) FROM bins b WHERE b.ingestion_date = e.ingestion_date) AS total,
+        (SELECT coalesce(sum(n), 0) FROM bins b WHERE b.ingestion_date = e.ingestion_date AND b.bin <= e.bin) AS below,
+        (SELECT sum(n) FROM bins b WHERE b.ingestion_date = e.before) AS total_before,
+        (SELECT coalesce(sum(n), 0) FROM bins b WHERE b.ingestion_date = e.before AND b.bin <= e.bin) AS below_before
+      FROM edges e)
+    SELECT ingestion_date, CAST(max(total) AS BIGINT) AS prices,
+      round(2 * pow(1.01 / CAST(0.99 AS DOUBLE), min(bin) FILTER (WHERE below >= 0.5 * total)) / (1.01 / CAST(0.99 AS DOUBLE) + 1), 4) AS median_price,
+      round(2 * pow(1.01 / CAST(0.99 AS DOUBLE), min(bin) FILTER (WHERE below >= 0.95 * total)) / (1.01 / CAST(0.99 AS DOUBLE) + 1), 4) AS p95_price,
+      round(max(abs(below / total - below_before / total_before)), 6) AS distance,
+      coalesce(round(max(abs(below / total - below_before / total_before)), 6) <= 0.1, true) AS within_limit
+    FROM shares GROUP BY ingestion_date""")
+
+_CTES_AND_SELECTS["distinct_over_range"] = (SILVER, " UNION ALL ".join(
+    f"""SELECT '{name}' AS range, count(DISTINCT user_id) AS user_id, count(DISTINCT advertiser_id) AS advertiser_id,
+          count(DISTINCT campaign_id) AS campaign_id, count(DISTINCT content_id) AS content_id,
+          true AS user_id_near, true AS advertiser_id_near, true AS campaign_id_near, true AS content_id_near
+        FROM legitimate WHERE ingestion_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-{last:02}'"""
+    for name, last in (("day", 3), ("week", 9), ("month", 31))))
+
 for _name, _same in [("sink_silver_range", "sink_silver"), ("silver_incremental", "sink_silver"),
                      ("gold_incremental", "sink_gold"), ("stored_totals", "ingest_stats"),
                      ("stream_dedup_late", "stream_dedup"),

@@ -98,6 +98,28 @@ def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that inserts every profile, updates each third user's tier twice (the first time with
+    a change at the same moment that a later one replaces) and deletes each eleventh user."""
+    key = F.substring("user_id", 6, 20).cast("long")
+
+    def change(op: str, at: str, seq: int, tier: Column) -> Column:
+        when = F.timestamp_add("MINUTE", key % 1000, F.lit(at).cast("timestamp"))
+        return F.struct(F.lit(op).alias("op"), when.alias("changed_at"), F.lit(seq).alias("seq"), tier.alias("account_tier"))
+
+    third, eleventh = key % 3 == 0, key % 11 == 0
+    feed = F.filter(F.array(
+        change("insert", "2024-01-02 00:00:00", 1, F.col("account_tier")),
+        F.when(third, change("update", "2024-01-09 06:00:00", 2, F.lit("basic"))),
+        F.when(third, change("update", "2024-01-09 06:00:00", 3, F.lit("premium"))),
+        F.when(third, change("update", "2024-01-18 06:00:00", 4, F.lit("enterprise"))),
+        F.when(eleventh, change("delete", "2024-01-24 06:00:00", 5, F.lit(None).cast("string"))),
+    ), lambda c: c.isNotNull())
+    rest = ["registration_country", "preferred_currency", "is_verified"]
+    return user_profiles(spark, sf_dir).withColumn("change", F.explode(feed)).select(
+        "user_id", "change.op", "change.changed_at", "change.seq", "change.account_tier", *rest)
+
+
 def impression_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic messages (``event_id``, ``copy``, ``value``) with defects at known event ids."""
     number = F.parse_json(F.col("bid_price").cast("string"))
