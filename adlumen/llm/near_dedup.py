@@ -194,15 +194,18 @@ def _open_components(rows: DataFrame, texts: DataFrame, n: int, percent: int) ->
 
     held = texts.join(rows.select("id", "label", "lead"), "id").select("id", "label", "lead", "packed")
     shingles = c.stored(held.mapInArrow(run, "id long, label long, size long, shingle long, times long"), "shingles")
-    often = shingles.groupBy("shingle").agg(F.sum("times").alias("n"), (F.min("label") != F.max("label")).alias("meets"))
+    # Only shingles that several components hold can link them. All others come first in the order,
+    # so they need no rank of their own.
+    often = shingles.groupBy("shingle").agg(F.sum("times").alias("n"), (F.min("label") != F.max("label")).alias("meets")).where("meets").select("shingle", "n")
     of = Window.partitionBy("id")
     first = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    ranked = shingles.where("id is not null").join(often, "shingle").withColumn("rank", F.row_number().over(of.orderBy("n", "shingle"))).withColumn("shared", F.col("size") - F.count_if(F.col("n") == 1).over(of))
-    rare = c.stored(ranked.where(F.col("rank") <= first).select("shingle", "id", "label", "size", "shared", "meets"), "rare")
-    # What a component can have in common with another document at most, and its least size: no set
-    # shares a shingle that only it has.
-    bounds = rows.join(rare.select("id", "shared").distinct(), "id", "left").groupBy("label").agg(F.max(F.coalesce("shared", "size")).alias("most"), F.min("size").alias("least"))
-    asked = rare.where("meets")
+    ranked = shingles.where("id is not null").join(often, "shingle").withColumn("rank", F.row_number().over(of.orderBy("n", "shingle"))).withColumn("shared", F.count("*").over(of))
+    ranked = ranked.withColumn("asked", F.col("size") - F.col("shared") + F.col("rank") <= first)
+    rare = c.stored(ranked.where("asked or rank = 1").select("shingle", "id", "label", "size", "shared", "asked"), "rare")
+    # What a component can have in common with another document at most, and its least size.
+    known = F.coalesce("shared", F.when(F.col("lead"), 0).otherwise(F.col("size")))
+    bounds = rows.join(rare.select("id", "shared").distinct(), "id", "left").groupBy("label").agg(F.max(known).alias("most"), F.min("size").alias("least"))
+    asked = rare.where("asked")
     holders = shingles.join(asked.select("shingle").distinct(), "shingle", "left_semi").select("shingle", "label").distinct().join(bounds, "label")
     # Labels that hold a shingle, about BLOCK in a row.
     spread = holders.groupBy("shingle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
