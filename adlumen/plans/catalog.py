@@ -22,6 +22,7 @@ from adlumen.sources import fixtures, tables, topics
 from adlumen.sources.tables import Tables
 from adlumen.streaming.ingest import start_ingest
 from adlumen.streaming.late import read_deduplicated, start_dedup_with_late
+from adlumen.streaming.leaders import leaders, start_leaders
 from adlumen.streaming.reconcile import payment_reconciliation_stream
 from adlumen.streaming.windows import dedup_stream, hourly_revenue_stream, served_stream
 
@@ -655,3 +656,13 @@ def stream_payment_reconciliation(spark, d):
         .trigger(availableNow=True).start().awaitTermination()
     )
     return spark.read.schema(stream.schema).parquet(f"{root}/reconciled")
+
+
+@query
+def stream_top_advertisers(spark, d):
+    """The ten advertisers with the most spend after four batches by time, of summaries that name 64
+    each and a lookup of the exact spends of those that can be among them."""
+    root = scratch_dir(spark, "stream_top_advertisers")
+    stream = _replayed(_by_days(bronze(spark, d), 9, 17, 24), f"{root}/impressions")
+    start_leaders(stream, root, f"{root}/checkpoint", "advertiser_id", 64).awaitTermination()
+    return leaders(spark, root).withColumnRenamed("key", "advertiser_id")

@@ -439,6 +439,14 @@ _CTES_AND_SELECTS["distinct_over_range"] = (SILVER, " UNION ALL ".join(
         FROM legitimate WHERE ingestion_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-{last:02}'"""
     for name, last in (("day", 3), ("week", 9), ("month", 31))))
 
+_CTES_AND_SELECTS["stream_top_advertisers"] = (SOURCE, """
+    , spent AS (
+      SELECT advertiser_id, count(*) AS impression_count,
+        coalesce(sum(CAST(round_even(bid_price * 1000000, 0) AS BIGINT)) FILTER (WHERE bid_price > 0 AND isfinite(bid_price)), 0) AS micros
+      FROM bronze WHERE advertiser_id IS NOT NULL GROUP BY advertiser_id)
+    SELECT advertiser_id, round(micros / 1000000.0::DOUBLE, 4) AS total_spend, impression_count
+    FROM spent ORDER BY micros DESC, advertiser_id LIMIT 10""")
+
 for _name, _same in [("sink_silver_range", "sink_silver"), ("silver_incremental", "sink_silver"),
                      ("gold_incremental", "sink_gold"), ("stored_totals", "ingest_stats"),
                      ("stream_dedup_late", "stream_dedup"),
