@@ -448,6 +448,23 @@ def sink_bronze_append(spark, d):
     return tables.read_bronze(spark, store)
 
 
+@query
+def sink_bronze_compacted(spark, d):
+    """Six batches compacted up to an open day, then one of them sent again and a late one; the
+    bronze table afterwards, from layouts, changed days and the open ones."""
+    store = Tables(scratch_dir(spark, "sink_bronze_compacted"))
+    rows = tables.ingest_rows(_valid_rows(spark, d))
+    late = F.col("is_fraud") & (F.dayofmonth("ingestion_date") % 5 == 0)
+    slices = [~late & (F.pmod(F.hash("user_id"), F.lit(6)) == n) for n in range(6)]
+    for n, some in enumerate(slices):
+        tables.write_ingest(rows.where(F.coalesce(some, F.lit(n == 0))), store, n, "fixtures")
+    tables.compact_ingest(spark, store, until=dt.date(2024, 1, 25))
+    tables.write_ingest(rows.where(F.coalesce(slices[3], F.lit(False))), store, 3, "fixtures")
+    tables.write_ingest(rows.where(late), store, "late", "fixtures")
+    tables.compact_ingest(spark, store, days=[dt.date(2024, 1, 5), dt.date(2024, 1, 6)])
+    return tables.read_bronze(spark, store)
+
+
 def _stored_silver(spark, d, name: str) -> Tables:
     store = Tables(scratch_dir(spark, name))
     tables.write_silver(silver.silver_outcomes(bronze(spark, d), profiles(spark, d)), store)

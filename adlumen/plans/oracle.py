@@ -360,6 +360,7 @@ _CTES_AND_SELECTS = {
         FROM legitimate i LEFT JOIN engagements e ON e.impression_id = i.impression_id
         GROUP BY i.content_id"""),
     "sink_bronze_append": (SOURCE, "SELECT * FROM bronze"),
+    "sink_bronze_compacted": (SOURCE, "SELECT * FROM bronze"),
     "sink_silver": (SILVER, """
         SELECT CASE WHEN is_fraud THEN 'fraud' ELSE 'legitimate' END AS outcome,
           * EXCLUDE (registration_country, preferred_currency), NULL AS quality_issues

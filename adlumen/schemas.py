@@ -114,6 +114,13 @@ APPLIED_SCHEMA = StructType([
     StructField("ingestion_date", DateType()),
     StructField("change", IntegerType()),
 ])
+# Which state of a day a layout is a copy of: +1 when it was completed, -1 when it was removed.
+COMPACTION_SCHEMA = StructType([
+    StructField("ingestion_date", DateType()),
+    StructField("layout", StringType()),
+    StructField("state", LongType()),
+    StructField("change", IntegerType()),
+])
 SILVER_SCHEMA = StructType([
     *_IMPRESSION,
     *_PROFILE,

@@ -26,6 +26,7 @@ from adlumen.schemas import (
     BRONZE_COLUMNS, CONTENT_COLUMNS, COUNTS_SCHEMA, FRAUD_COLUMNS, IMPRESSION_COLUMNS, INGEST_SCHEMA,
     QUARANTINE_COLUMNS, REVENUE_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA,
 )
+from adlumen.sources.compaction import ROWS_PER_FILE, current_layouts, layouts, read_days, write_layouts
 
 @dataclass(frozen=True)
 class Tables:
@@ -47,6 +48,14 @@ class Tables:
     def counts(self) -> str:
         return f"{self.root}/ingest/counts"
 
+    @property
+    def compacted(self) -> str:
+        return f"{self.root}/ingest/compacted"
+
+    @property
+    def compactions(self) -> str:
+        return f"{self.root}/ingest/compactions"
+
     @property
     def applied(self) -> str:
         return f"{self.root}/gold/applied_batches"
@@ -222,14 +231,38 @@ def read_counts(spark: SparkSession, tables: Tables) -> DataFrame:
     return spark.read.schema(COUNTS_SCHEMA).parquet(tables.counts)
 
 
-def read_ingest(spark: SparkSession, tables: Tables) -> DataFrame:
-    return read_table(spark, tables.ingest, tables.fmt, INGEST_SCHEMA)
+def read_ingest(spark: SparkSession, tables: Tables, date_from: dt.date | None = None,
+                date_to: dt.date | None = None, days: Collection[dt.date] | None = None) -> DataFrame:
+    """All stored messages, or those of some days; days that were compacted come from their layouts."""
+    if tables.fmt == "parquet" and is_stored(spark, tables.compactions):
+        counts = read_counts(spark, tables)
+        stored = current_layouts(counts, layouts(spark, tables))
+        return read_days(spark, tables, counts, between_dates(stored, date_from, date_to, days))
+    return between_dates(read_table(spark, tables.ingest, tables.fmt, INGEST_SCHEMA), date_from, date_to, days)
+
+
+def compact_ingest(spark: SparkSession, tables: Tables, until: dt.date | None = None,
+                   days: Collection[dt.date] | None = None, rows_per_file: int = ROWS_PER_FILE) -> list[dt.date]:
+    """Rewrite days into few files ordered by advertiser; returns those that needed it.
+
+    ``until`` is the first day that is still open, ``days`` names some instead. Running it again
+    takes only days that batches have changed since. Delta tables have commands of their own.
+    """
+    if tables.fmt != "parquet":
+        raise ValueError("only Parquet tables are compacted here")
+    if until is None and days is None:
+        raise ValueError("name the first open day or the days to compact")
+    counts = read_counts(spark, tables)
+    known = layouts(spark, tables) if is_stored(spark, tables.compactions) else None
+    closed = None if until is None else until - dt.timedelta(days=1)
+    asked = between_dates(current_layouts(counts, known), None, closed, days)
+    return write_layouts(spark, tables, counts, asked, rows_per_file)
 
 
 def read_bronze(spark: SparkSession, tables: Tables, date_from: dt.date | None = None,
                 date_to: dt.date | None = None, days: Collection[dt.date] | None = None) -> DataFrame:
-    bronze = read_ingest(spark, tables).where("outcome = 'valid'").select(*BRONZE_COLUMNS)
-    return between_dates(bronze, date_from, date_to, days)
+    stored = read_ingest(spark, tables, date_from, date_to, days)
+    return stored.where("outcome = 'valid'").select(*BRONZE_COLUMNS)
 
 
 def read_rejects(spark: SparkSession, tables: Tables) -> DataFrame:
