@@ -163,6 +163,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Let Arrow batches end at about ``limit`` bytes as well: rows may hold blocks of texts, of which
+    ten thousand would be one batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    if not (before and before.isdigit() and 0 < int(before) <= limit):
+        spark.conf.set(name, limit)
+
+
 # How many texts one id may name, and the bits that tell them apart.
 _TEXTS_BITS = 20
 

@@ -216,14 +216,15 @@ def _open_components(rows: DataFrame, texts: DataFrame, n: int, percent: int) ->
     def able(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told: set[tuple[int, int]] = set()  # as many as the task returns
         for one in batches:
-            new = []
-            for row in one.to_pylist():
-                for other in row["holders"]:
-                    common = min(row["shared"], other["most"])
-                    pair = row["id"], other["label"]
-                    if other["label"] != row["label"] and pair not in told and common * 100 >= (row["size"] + other["least"] - common) * percent:
-                        told.add(pair)
-                        new.append(pair)
+            ids, labels, sizes, shared = (one.column(k).to_numpy() for k in ("id", "label", "size", "shared"))
+            row = np.repeat(np.arange(len(ids)), one.column("holders").value_lengths().to_numpy())
+            holder = pa.RecordBatch.from_struct_array(one.column("holders").flatten())
+            other, most, least = (holder.column(k).to_numpy() for k in ("label", "most", "least"))
+            common = np.minimum(shared[row], most)
+            some = (other != labels[row]) & (common * 100 >= (sizes[row] + least - common) * percent)
+            pairs = np.unique(np.stack([ids[row[some]], other[some]], axis=1), axis=0)
+            new = [pair for pair in map(tuple, pairs.tolist()) if pair not in told]
+            told.update(new)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in new], pa.int64()) for k in (0, 1)], ["id", "other"])
 
     return met.mapInArrow(able, "id long, other long")
@@ -283,6 +284,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     link with nothing: component_id and kept are null. Rows that share an id are one vertex, which
     has the links of all of them. An empty table gives an empty result; other columns are not read.
     """
+    c.bound_batches(documents.sparkSession)
     texts = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     signed = c.stored(signatures(texts, shingle), "signatures")
     usable = signed.where("doc_id is not null and digest is not null")
