@@ -62,3 +62,28 @@ def test_streams_of_payments_and_impressions_meet(spark, tmp_path):
     every = paid(("p1", "camp_001", 6), ("p2", "camp_009", 6), ("p3", "camp_001", 9), ("p4", "camp_002", 13), ("p5", None, 14))
     assert collect(got.drop("timestamp")) == collect(payment_reconciliation(every, impressions).select(got.columns).drop("timestamp"))
     assert collect(got, "payment_id", "matched_impressions") == [("p1", 3), ("p2", 0), ("p3", 2), ("p4", 0), ("p5", 0)]
+
+
+def test_a_payment_meets_only_what_is_near_it(spark, tmp_path):
+    def streamed(name, *frames):
+        for frame in frames:
+            frame.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        return spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+
+    def paid(*rows):
+        return spark.createDataFrame([(p, "adv_001", "camp_001", 5.0, "USD", "x", "settled", T0 + h * H) for p, h in rows], PAYMENT_SCHEMA)
+
+    # One campaign over 900 hours; spans begin and end on impressions, on edges of six hours and between.
+    impressions = bronze(spark, *[at(1.5 * k, f"i{k}", bid_price=1.0 + k % 7) for k in range(600)])
+    payments = paid(*[(f"p{k}", 1.5 * k + (0, 0.4, -1.5)[k % 3]) for k in range(1, 600)])
+    stream = payment_reconciliation_stream(
+        streamed("payments", payments, paid(("end", 2000))),
+        dedup_stream(streamed("impressions", impressions, bronze(spark, at(2000, "end")))))
+    query = (stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "checkpoint"))
+             .outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+    assert collect(got) == collect(payment_reconciliation(payments, impressions).select(got.columns))
+    # Rows read from the join's state: all with all would be 360,000.
+    reads = sum(o.customMetrics["rocksdbGetCount"] for p in query.recentProgress for o in p.stateOperators if o.operatorName == "symmetricHashJoin")
+    assert 0 < reads < 100_000
