@@ -233,6 +233,8 @@ def blocks(texts: DataFrame, left: str, right: str) -> DataFrame:
                 row = one_block(number, one.column("id")[first:last], one.column("text")[first:last].to_pylist(), model)
                 number += 1
                 yield c.batch({k: [v] for k, v in row.items()}, BLOCKS)
+        # The worker may live on for the second pass, which encodes nothing.
+        model.seen.clear()
 
     return texts.mapInArrow(run, BLOCKS_SQL)
 
@@ -487,6 +489,7 @@ def looked_up(made: DataFrame, replies: DataFrame, parts: int, left: str, right:
 
 def _counted(documents: DataFrame, doc_id: str, text: str, left: str, right: str, slices: int | None) -> tuple[DataFrame, DataFrame, int, int]:
     spark = documents.sparkSession
+    c.bound_batches(spark)
     slices = slices or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     made = c.stored(blocks(documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), left, right), "blocks")
     pairs = c.stored(task_pairs(made, slices), "pairs")

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
@@ -100,6 +101,16 @@ def test_alignment(docs, rows, tokenizers, fan, block, slices, monkeypatch):
     assert all(r.best == (r.links == most[r.b]) for r in got)
 
 
+def test_alignment_takes_rows_in_bounded_batches(spark, docs):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    assert cross_align.align(docs.limit(20)).count() == 20
+    # Blocks of texts are rows of up to a megabyte; ten thousand of them would be one batch.
+    rows = spark.range(0, 30, 1, 1).select(F.expr("repeat('x', 1048576)").alias("block"))
+    sizes = [r[0] for r in rows.mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [one.num_rows]}) for one in it), "n long").collect()]
+    assert sum(sizes) == 30 and max(sizes) <= 5
+
+
 @given(st.text(st.sampled_from("ab Zé漢\n\t'9 .▁😀 "), max_size=40))
 @settings(max_examples=300, deadline=None)
 def test_segments_encode_as_the_whole_text(text):
