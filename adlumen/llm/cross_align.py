@@ -21,9 +21,8 @@ times the other vocabulary). Nothing is broadcast, and nothing goes to the drive
 from __future__ import annotations
 
 import re
-from array import array
-from collections.abc import Callable, Iterator
-from itertools import groupby
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, groupby
 
 import numpy as np
 import public_tokenizers
@@ -36,7 +35,7 @@ from adlumen.llm import common as c
 from adlumen.llm.tokens import Encoder, _only_single_spaces
 
 BLOCK_BYTES = 1 << 20
-CACHE = 200_000
+CACHE = 300_000
 CACHED_CHARS = 48
 # Distinct pairs a task holds before it sends them.
 HELD = 2_000_000
@@ -55,6 +54,12 @@ def segments(text: str) -> list[str]:
     return _CUT.split(" " + text)
 
 
+def _per_text(values: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Sums of values up to each end from the one before."""
+    total = np.append(0, np.cumsum(values, dtype=np.int64))
+    return np.diff(np.append(0, total[to]))
+
+
 class Both:
     """The two tokenizers: a byte-level one by its ranks, and one of pieces with byte fallback.
 
@@ -71,33 +76,74 @@ class Both:
         self.right_bytes = [bytes([int(x[3:5], 16)]) if self.right.is_byte(k) else x.replace("▁", " ").encode() for k, x in enumerate(pieces)]
         self.left_size = np.array([len(x) for x in self.left_bytes], np.int64)
         self.right_size = np.array([len(x) for x in self.right_bytes], np.int64)
-        self.seen: dict[str, tuple[bytes, bytes]] = {}
+        self.forget()
 
-    def _encoded(self, parts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        for part, b in zip(parts, self.right.encode([x[1:] for x in parts], num_threads=1)):
-            yield array("I", self.left.model.encode_ordinary(part)).tobytes(), array("I", b).tobytes()
+    def forget(self) -> None:
+        """Drop the remembered segments."""
+        # Place of each segment; its ids by either stand one after another from its start on.
+        self.seen: dict[str, int] = {}
+        self.ids = [np.zeros(0, np.uint32), np.zeros(0, np.uint32)]
+        self.starts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.covered = np.zeros(0, bool)
 
-    def _covers(self, text: str, a: bytes, b: bytes) -> bool:
+    def _covers(self, raw: bytes, a: Iterable[int], b: Iterable[int]) -> bool:
         """Whether the tokens of either give the bytes of a space and the text."""
-        raw = b" " + text.encode()
-        return b"".join(map(self.left_bytes.__getitem__, array("I", a))) == raw and b"".join(map(self.right_bytes.__getitem__, array("I", b))) == raw
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids of texts as 32-bit numbers, by both; none for a text that either does not cover."""
+        return b"".join(map(self.left_bytes.__getitem__, a)) == raw and b"".join(map(self.right_bytes.__getitem__, b)) == raw
+
+    def _learn(self, parts: list[str]) -> None:
+        raw = [x.encode() for x in parts]
+        found = [self.left.model.encode_ordinary(x) for x in parts], self.right.encode([x[1:] for x in parts], num_threads=1)
+        whole = self._covers(b"".join(raw), chain.from_iterable(found[0]), chain.from_iterable(found[1]))
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        for k, size in enumerate((self.left_size, self.right_size)):
+            counts = np.fromiter(map(len, found[k]), np.int64, len(parts))
+            ids = np.fromiter(chain.from_iterable(found[k]), np.uint32, int(counts.sum()))
+            whole = whole and np.array_equal(_per_text(size[ids], np.cumsum(counts)), lengths)
+            self.starts[k] = np.append(self.starts[k], self.starts[k][-1] + np.cumsum(counts))
+            self.ids[k] = np.append(self.ids[k], ids)
+        self.covered = np.append(self.covered, np.full(len(parts), True) if whole else [self._covers(*x) for x in zip(raw, *found)])
+        self.seen.update(zip(parts, range(len(self.seen), len(self.seen) + len(parts))))
+
+    def _joined(self, k: int, at: np.ndarray) -> np.ndarray:
+        """Ids of the segments at these places, one after another."""
+        starts = self.starts[k][at]
+        counts = self.starts[k][at + 1] - starts
+        ends = np.cumsum(counts)
+        return self.ids[k][np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts by both as 32-bit numbers, and how many each text has of either; none
+        for a text that either does not cover."""
         if len(self.seen) >= CACHE:
-            self.seen.clear()
+            self.forget()
         cut = [segments(x) if x else [] for x in texts]
-        new = list({s for one in cut for s in one} - self.seen.keys())
-        later: dict[str, tuple[bytes, bytes]] = {}
+        new = sorted({s for one in cut for s in one} - self.seen.keys(), key=lambda s: len(s) > CACHED_CHARS)
         for k in range(0, len(new), 10_000):
-            for s, ids in zip(new[k : k + 10_000], self._encoded(new[k : k + 10_000])):
-                (self.seen if len(s) <= CACHED_CHARS else later)[s] = ids
-        out = []
-        for text, one in zip(texts, cut):
-            found = [self.seen[s] if s in self.seen else later[s] for s in one]
-            a, b = b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
-            out.append((a, b) if found and self._covers(text, a, b) else (b"", b""))
-        return out
+            self._learn(new[k : k + 10_000])
+        to = np.append(0, np.cumsum([len(x) for x in cut], dtype=np.int64))
+        at = np.fromiter(map(self.seen.__getitem__, chain.from_iterable(cut)), np.int64, int(to[-1]))
+        covers = _per_text(~self.covered[at], to[1:]) == 0
+        for k in np.flatnonzero(~covers).tolist():
+            one = at[to[k] : to[k + 1]]
+            covers[k] = self._covers(b" " + texts[k].encode(), self._joined(0, one).tolist(), self._joined(1, one).tolist())
+        kept = np.repeat(covers, np.diff(to))
+        sizes = [_per_text((starts[at + 1] - starts[at]) * kept, to[1:]) for starts in self.starts]
+        a, b = (self._joined(k, at[kept]) for k in range(2))
+        # Long segments are not remembered; they were learnt last.
+        long = sum(len(s) > CACHED_CHARS for s in new)
+        if long:
+            for s in new[-long:]:
+                del self.seen[s]
+            self.covered = self.covered[:-long].copy()
+            self.starts = [x[:-long].copy() for x in self.starts]
+            self.ids = [x[: starts[-1]].copy() for x, starts in zip(self.ids, self.starts)]
+        return a, b, np.stack(sizes, axis=1)
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """The same as bytes of each text."""
+        a, b, sizes = self.encode_all(texts)
+        to = np.cumsum(sizes, axis=0)
+        return [(a[x - n : x].tobytes(), b[y - m : y].tobytes()) for (x, y), (n, m) in zip(to.tolist(), sizes.tolist())]
 
 
 _both: dict[tuple[str, str], Both] = {}
@@ -214,13 +260,11 @@ def blocks(texts: DataFrame, left: str, right: str) -> DataFrame:
     """Texts ``(id, text)`` as ids of both vocabularies, a row for each block, with its pairs."""
 
     def one_block(number: int, ids: pa.Array, texts: list[str | None], model: Both) -> dict:
-        found = model.encode([x or "" for x in texts])
-        a, b = (np.frombuffer(b"".join(x), np.uint32) for x in zip(*found))
+        a, b, sizes = model.encode_all([x or "" for x in texts])
         at, bt, _, _ = aligned(model.left_size[a], model.right_size[b])
         keys, counts = summed((b[bt].astype(np.int64) << _SHIFT) | a[at], np.ones(len(at), np.int64))
-        sizes = np.array([(len(x) // 4, len(y) // 4) for x, y in found], np.int64).reshape(-1)
         return {
-            "block": number, "ids": _packed(ids.fill_null(0).to_numpy()), "known": _packed(ids.is_valid().to_numpy(zero_copy_only=False)), "sizes": _packed(sizes),
+            "block": number, "ids": _packed(ids.fill_null(0).to_numpy()), "known": _packed(ids.is_valid().to_numpy(zero_copy_only=False)), "sizes": _packed(sizes.reshape(-1)),
             "a": _packed(a), "b": _packed(b), "keys": _packed(keys), "counts": _packed(counts),
         }
 
@@ -234,7 +278,7 @@ def blocks(texts: DataFrame, left: str, right: str) -> DataFrame:
                 number += 1
                 yield c.batch({k: [v] for k, v in row.items()}, BLOCKS)
         # The worker may live on for the second pass, which encodes nothing.
-        model.seen.clear()
+        model.forget()
 
     return texts.mapInArrow(run, BLOCKS_SQL)
 
@@ -447,12 +491,6 @@ RESULT = pa.schema([("doc_id", pa.int64()), *((k, pa.int64()) for k in ("n_a", "
 RESULT_SQL = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
-def _per_text(values: np.ndarray, to: np.ndarray) -> np.ndarray:
-    """Sums of values up to each end from the one before."""
-    total = np.append(0, np.cumsum(values, dtype=np.int64))
-    return np.diff(np.append(0, total[to]))
-
-
 def looked_up(made: DataFrame, replies: DataFrame, parts: int, left: str, right: str) -> DataFrame:
     """The second pass: aligns each block's ids again and looks up the counts of its links."""
 

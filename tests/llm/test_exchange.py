@@ -101,6 +101,25 @@ def test_alignment(docs, rows, tokenizers, fan, block, slices, monkeypatch):
     assert all(r.best == (r.links == most[r.b]) for r in got)
 
 
+def test_remembered_segments_change_no_ids(rows, monkeypatch):
+    monkeypatch.setattr(cross_align, "CACHE", 40)
+    monkeypatch.setattr(cross_align, "CACHED_CHARS", 6)
+    texts = [t or "" for _, t in rows] + ["a▁b", "", "plain words, plain words", "y" * 70]
+    model = cross_align.Both("byte_bpe_50k", "piece_bpe_32k")
+    for size in (1, 7, len(texts), 3):
+        for k in range(0, len(texts), size):
+            some = texts[k : k + size]
+            a, b, sizes = model.encode_all(some)
+            assert all(len(s) <= 6 for s in model.seen) and len(model.seen) == len(model.covered)
+            alone = []
+            for text in some:
+                model_ids = cross_align.both("byte_bpe_50k", "piece_bpe_32k")
+                left, right = model_ids.left.model.encode_ordinary(" " + text), model_ids.right.encode(text)
+                alone.append((left, right) if text and model_ids._covers(b" " + text.encode(), left, right) else ([], []))
+            assert a.tolist() == [i for x, _ in alone for i in x] and b.tolist() == [i for _, x in alone for i in x]
+            assert sizes.tolist() == [[len(x), len(y)] for x, y in alone]
+
+
 def test_alignment_takes_rows_in_bounded_batches(spark, docs):
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     spark.conf.unset(name)
